@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,6 +29,11 @@ FORMAT_TOKENS = [
 ]
 
 
+def ntz(at: datetime.datetime | str) -> Column:
+    """Literal wall-clock time, independent of any time zone."""
+    return F.lit(str(at)).cast("timestamp_ntz")
+
+
 def _unit_number(unit: str, ts: Column) -> Column:
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     micros = F.timestamp_diff("MICROSECOND", epoch, ts.cast("timestamp_ntz"))

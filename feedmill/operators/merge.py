@@ -39,7 +39,7 @@ def merge_rows(
         inserted = F.col("new")[c] if c in given else insert_values.get(c, F.lit(None))
         if c in set_values:
             matched = set_values[c]
-        elif c in update:
+        elif c in update and c in given:
             matched = F.col("new")[c]
         else:
             matched = kept
