@@ -21,14 +21,20 @@ def file_columns(raw: DataFrame) -> DataFrame:
     ).select("file_name", "tpa", F.col("field_name").alias("source_column"))
 
 
+def fields_by_table(columns: DataFrame, schemas: DataFrame) -> DataFrame:
+    """Every column beside every active target table.
+
+    The table names are metadata (checked size), carried as an array literal, so
+    the pairing is a map over the columns and not a join.
+    """
+    names = [r.table_name for r in collect_metadata(schemas.filter("active").select("table_name").distinct())]
+    tables = F.array(*[F.lit(t) for t in sorted(names)]).cast("array<string>")
+    return columns.withColumn("target_table", F.explode(tables))
+
+
 def file_mapping_coverage(raw: DataFrame, schemas: DataFrame, mappings: DataFrame) -> DataFrame:
     """Per (file, target table): columns mapped and unmapped, percent, status, column lists."""
-    tables = [r.table_name for r in collect_metadata(schemas.filter("active").select("table_name").distinct())]
-    if not tables:
-        tables_array = F.array().cast("array<string>")
-    else:
-        tables_array = F.array(*[F.lit(t) for t in sorted(tables)])
-    columns = file_columns(raw).withColumn("target_table", F.explode(tables_array))
+    columns = fields_by_table(file_columns(raw), schemas)
     approved = mappings.filter("approved").select(
         F.upper(F.trim("source_field")).alias("_field"), F.col("target_table").alias("_table"),
         F.col("tpa").alias("_tpa"), "target_column", "mapping_id",

@@ -264,7 +264,7 @@ def claims(spark, d) -> DataFrame:
         F.col("o_orderstatus").alias("status"),
         F.col("o_orderpriority").alias("plan_type"),
         (F.col("o_totalprice") - F.when(key % 13 == 0, 400000).otherwise(0)).alias("billed"),
-        F.when(key % 17 != 0, F.col("o_totalprice") * F.lit(0.5)).alias("allowed"),
+        F.when(key % 17 != 0, F.col("o_totalprice") - F.lit(100.0)).alias("allowed"),
         F.to_date("o_orderdate").alias("service_date"),
         F.when(key % 19 != 0, F.expr("CAST(date_add(to_date(o_orderdate), CAST(o_custkey % 45 AS INT)) AS DATE)"))
         .alias("paid_date"),
@@ -371,7 +371,7 @@ SELECT o_orderkey AS raw_id, 'CLM' || lpad(CAST(o_custkey AS VARCHAR), 8, '0') A
        'Last' || CAST(o_custkey % 70 AS VARCHAR) AS last_name, o_orderstatus AS status,
        o_orderpriority AS plan_type,
        o_totalprice - CASE WHEN o_orderkey % 13 = 0 THEN 400000 ELSE 0 END AS billed,
-       CASE WHEN o_orderkey % 17 <> 0 THEN o_totalprice * CAST(0.5 AS DOUBLE) END AS allowed,
+       CASE WHEN o_orderkey % 17 <> 0 THEN o_totalprice - CAST(100 AS DOUBLE) END AS allowed,
        CAST(o_orderdate AS DATE) AS service_date,
        CASE WHEN o_orderkey % 19 <> 0 THEN CAST(o_orderdate AS DATE) + CAST(o_custkey % 45 AS INTEGER) END AS paid_date,
        lpad(CAST(o_custkey * 7919 % 1000000000 AS VARCHAR), 9, '1')
