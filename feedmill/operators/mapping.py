@@ -98,6 +98,15 @@ def gram_weights(documents: DataFrame) -> DataFrame:
     return weighted.join(norms, "name").select("name", "gram", (F.col("w") / F.col("norm")).alias("w"))
 
 
+def gram_cosines(weights: DataFrame, sources: DataFrame, targets: DataFrame) -> DataFrame:
+    """Cosine of every (s, t) pair of names sharing a piece; the rest is zero."""
+    left = weights.join(sources, F.col("name") == F.col("s"), "left_semi").select(
+        F.col("name").alias("s"), "gram", F.col("w").alias("ws"))
+    right = weights.join(targets, F.col("name") == F.col("t"), "left_semi").select(
+        F.col("name").alias("t"), "gram", F.col("w").alias("wt"))
+    return left.join(right, "gram").groupBy("s", "t").agg(F.sum(F.col("ws") * F.col("wt")).alias("tfidf"))
+
+
 def score_pairs(sources: DataFrame, targets: DataFrame, min_confidence: float = 0.6) -> DataFrame:
     """Scores of (source_field, target_table, target_column) pairs at or above the minimum.
 
@@ -117,17 +126,7 @@ def score_pairs(sources: DataFrame, targets: DataFrame, min_confidence: float =
     weights = gram_weights(documents)
 
     s_names, t_names = src.select("s").distinct(), tgt.select("t").distinct()
-    dots = (
-        weights.join(s_names, F.col("name") == F.col("s"), "left_semi")
-        .select(F.col("name").alias("s"), "gram", F.col("w").alias("ws"))
-        .join(
-            weights.join(t_names, F.col("name") == F.col("t"), "left_semi")
-            .select(F.col("name").alias("t"), "gram", F.col("w").alias("wt")),
-            "gram",
-        )
-        .groupBy("s", "t")
-        .agg(F.sum(F.col("ws") * F.col("wt")).alias("tfidf"))
-    )
+    dots = gram_cosines(weights, s_names, t_names)
     candidates = dots.unionByName(
         s_names.join(t_names, F.col("s") == F.col("t")).withColumn("tfidf", F.lit(0.0))
     )

@@ -128,6 +128,16 @@ def conform_columns(rows: DataFrame, types: dict[str, str]) -> DataFrame:
     )
 
 
+def apply_all_rules(
+    projected: DataFrame, rules: list, table: str, references: dict[str, DataFrame] | None = None
+) -> DataFrame:
+    """Rows left after quality, business, standardisation and dedup rules, as one lazy plan."""
+    checked = rule_ops.apply_quality_rules(projected, rules, table, references)
+    business = rule_ops.apply_business_rules(checked.survivors(), rules, table)
+    standard = rule_ops.apply_standard_rules(business.rows, rules, table)
+    return rule_ops.apply_dedup_rules(standard.rows, rules, table)[0]
+
+
 @dataclass
 class BatchResult:
     batch_id: str

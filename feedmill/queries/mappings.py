@@ -64,6 +64,14 @@ w AS (SELECT name, gram, tf * (ln((1 + (SELECT sum(copies) FROM docs)) / CAST(1
 wn AS (SELECT name, gram, w / sqrt(sum(w * w) OVER (PARTITION BY name)) AS w FROM w)"""
 
 
+def _cosines(s, d):
+    src = _sources(s, d).select(normalise_name(F.col("source_field")).alias("s"))
+    tgt = _targets(s, d).select(normalise_name(F.col("target_column")).alias("t"))
+    names = src.select(F.col("s").alias("name")).unionByName(tgt.select(F.col("t").alias("name")))
+    weights = M.gram_weights(names.groupBy("name").agg(F.count(F.lit(1)).alias("copies")))
+    return M.gram_cosines(weights, src.distinct(), tgt.distinct()).withColumn("tfidf", F.round("tfidf", 4))
+
+
 def _tfidf(s, d):
     names = _sources(s, d).select(normalise_name(F.col("source_field")).alias("name")).unionByName(
         _targets(s, d).select(normalise_name(F.col("target_column")).alias("name")))
@@ -173,9 +181,11 @@ QUERIES = {
         _tfidf,
         fields_sql("").rstrip() + "," + _TFIDF_SQL + "\nSELECT name, gram, round(w, 4) AS weight FROM wn"),
     "map_07_gram_cosine": Query(
-        lambda s, d: M.score_pairs(_sources(s, d), _targets(s, d), 0.6).select(
-            "source_field", "target_table", "target_column", F.round("tfidf_score", 3).alias("tfidf_score")).join(
-            _targets(s, d), ["target_table", "target_column"], "left_semi")),
+        _cosines,
+        fields_sql("").rstrip() + "," + _TFIDF_SQL + f"""
+SELECT a.name AS s, b.name AS t, round(sum(a.w * b.w), 4) AS tfidf FROM wn a JOIN wn b ON a.gram = b.gram
+WHERE a.name IN (SELECT {_NORM.format('source_field')} FROM src) AND b.name IN (SELECT {_NORM.format('target_column')} FROM tgt)
+GROUP BY a.name, b.name"""),
     "map_08_combined_score": Query(lambda s, d: M.score_pairs(_sources(s, d), _targets(s, d), 0.6)),
     "map_09_propose_mappings": Query(
         lambda s, d: M.propose_mappings(_sources(s, d), _targets(s, d), T.mappings(s, d), "economy", min_confidence=0.5)),

@@ -166,7 +166,12 @@ def excel_cells(spark: SparkSession, landing: str, files: list[str]) -> DataFram
     books = spark.read.format("binaryFile").load(paths).select(
         relative(F.col("path"), landing).alias("file_name"), "content"
     )
-    return books.repartition(len(files), "file_name").mapInPandas(_read_workbooks, CELLS)
+    return workbook_cells(books.repartition(len(files), "file_name"))
+
+
+def workbook_cells(books: DataFrame) -> DataFrame:
+    """Rows of (file_name, content) workbooks."""
+    return books.select("file_name", "content").mapInPandas(_read_workbooks, CELLS)
 
 
 # -- header to object ---------------------------------------------------------------
