@@ -238,8 +238,10 @@ def apply_quality_rules(
     """
     chosen = [r for r in rules if r.rule_type in (QUALITY, REFERENTIAL)]
     result = RuleResult(batch)
-    df, removed = batch, F.lit(None).cast("int")
+    df = batch
     flags, helpers = [], []
+    removals: list[tuple[int, Column]] = []
+    counted: list[tuple[int, str, Rule]] = []
     has_tpa = "tpa" in batch.columns
     for position, rule in enumerate(chosen):
         name = f"_v{position}"
@@ -259,11 +261,16 @@ def apply_quality_rules(
                 {"rule": rule, "metric_type": "RULE_ERROR", "error": str(error), "table": table or rule.target_table}
             )
             continue
-        hit = F.coalesce(violated, F.lit(False)) & removed.isNull()
+        hit = F.coalesce(violated, F.lit(False))
         if has_tpa and rule.applies_to != "TRUE":
             hit = hit & F.expr(rule.applies_to)
+        removes = F.col(name)
+        if rule.error_action == "CORRECT":
+            # A row an earlier rule removed keeps the value it was removed with.
+            hit = hit & _first_removal(removals).isNull()
         df = df.withColumn(name, hit)
         helpers.append(name)
+        counted.append((position, name, rule))
         if rule.error_action == "CORRECT":
             fix = rule.rule_parameters.get("correction")
             if fix and condition:
@@ -272,34 +279,38 @@ def apply_quality_rules(
                     rule.target_column,
                     F.when(F.col(name), fixed).otherwise(F.col(rule.target_column)),
                 )
-                still = F.col(name) & ~F.coalesce(F.expr(condition), F.lit(False))
-            else:
-                still = F.col(name)
-            removed = F.coalesce(removed, F.when(still, F.lit(position)))
+                df = df.withColumn(f"_c{position}", F.col(name) & ~F.coalesce(F.expr(condition), F.lit(False)))
+                helpers.append(f"_c{position}")
+                removes = F.col(f"_c{position}")
             result.quarantine_rules[position] = rule
-        elif rule.error_action in REMOVING:
-            removed = F.coalesce(removed, F.when(F.col(name), F.lit(position)))
+        if rule.error_action in REMOVING:
+            removals.append((position, removes))
             if rule.error_action == "QUARANTINE":
                 result.quarantine_rules[position] = rule
         elif rule.error_action == "FLAG":
             flags.append(F.when(F.col(name), F.lit(rule.rule_id)))
-        if rule.error_action in REMOVING:
-            df = df.withColumn(f"_r{position}", removed)
-            helpers.append(f"_r{position}")
-            removed = F.col(f"_r{position}")
+    if flags:
+        df = df.withColumn("dq_flags", F.array_compact(F.array(*flags)))
+    result.rows = df.withColumn("_removed_at", _first_removal(removals))
+    result.helper_columns = helpers
+    for position, name, rule in counted:
+        seen = F.col("_removed_at").isNull() | (F.col("_removed_at") >= position)
         info = {
             "rule_id": rule.rule_id, "table_name": table or rule.target_table,
             "column_name": rule.target_column, "metric_type": "RULE_VIOLATIONS",
             "threshold": 0.0, "when_hit": "FAIL",
         }
-        result.counters.append((info, F.count_if(F.col(name))))
-    if flags:
-        df = df.withColumn("dq_flags", F.array_compact(F.array(*flags)))
-    result.rows = df.withColumn("_removed_at", removed)
-    result.helper_columns = helpers
+        result.counters.append((info, F.count_if(F.col(name) & seen)))
     return result
 
 
+def _first_removal(removals: list[tuple[int, Column]]) -> Column:
+    """Position of the first removing rule that is violated."""
+    return F.coalesce(
+        *[F.when(hit, F.lit(position)) for position, hit in removals], F.lit(None).cast("int")
+    )
+
+
 def _reference_check(
     df: DataFrame, rule: Rule, references: dict[str, DataFrame], flag: str
 ) -> tuple[DataFrame, Column]:

@@ -105,7 +105,7 @@ def _excel_rows(s, d) -> DataFrame:
 
 def _pages(s, d) -> DataFrame:
     return T.load(s, d, "pages").select(
-        "page_id", F.col("url").alias("file_name"), (F.length("html") * 40000).cast("bigint").alias("size"))
+        "page_id", F.col("url").alias("file_name"), (F.length("html").cast("bigint") * 40000).alias("size"))
 
 
 def _config_csv(s, rows: DataFrame, label: str) -> str:
@@ -612,7 +612,7 @@ def raw_claims(s, d) -> DataFrame:
         F.lit("NPI"), F.col("provider_npi"), F.lit("STATUS"), F.col("status"))
     return c.select(
         (F.col("raw_id") + 1).alias("raw_id"), tpa.alias("tpa"),
-        F.parse_json(F.to_json(F.when(tpa == "provider_2", other).otherwise(plain))).alias("raw_data"),
+        T.stored_object(F.when(tpa == "provider_2", other).otherwise(plain)),
         F.concat(tpa, F.lit("/"), F.col("member_id") % 100, F.lit(".csv")).alias("file_name"),
         F.col("raw_id").alias("file_row_number"), ntz(NOW_TEXT).alias("load_timestamp"))
 

@@ -518,12 +518,11 @@ FUNCTIONS = {
             CASE WHEN billed < 0 THEN 'credit' WHEN billed < 100000 THEN 'small' ELSE 'large' END AS band FROM claims""")),
     "fn_12_numeric": Query(
         lambda s, d: T.load(s, d, "lineitem").select(
-            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate",
-            F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")), 2).alias("net"),
+            F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")) * 100 + 1e-5, 0).cast("bigint").alias("net"),
             F.greatest("l_quantity", F.lit(25.0)).alias("at_least"), F.col("l_quantity").between(10, 20).alias("mid")
-        ).groupBy("at_least", "mid").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("net"), 0).alias("net")),
+        ).groupBy("at_least", "mid").agg(F.count(F.lit(1)).alias("n"), F.sum("net").alias("net_cents")),
         """SELECT greatest(l_quantity, CAST(25 AS DOUBLE)) AS at_least, l_quantity BETWEEN 10 AND 20 AS mid, count(*) AS n,
-           round(sum(round(l_extendedprice * (1 - l_discount), 2)), 0) AS net FROM lineitem GROUP BY ALL"""),
+           CAST(sum(CAST(round(l_extendedprice * (1 - l_discount) * 100 + 1e-5, 0) AS BIGINT)) AS BIGINT) AS net_cents FROM lineitem GROUP BY ALL"""),
     "fn_13_safe_casts": Query(
         lambda s, d: T.claims(s, d).select(
             "raw_id", F.col("status").try_cast("int").alias("bad"), F.col("provider_npi").try_cast("bigint").alias("npi"),
