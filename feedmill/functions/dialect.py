@@ -110,14 +110,17 @@ def predicate(column: str | None, logic: str) -> str:
     return text
 
 
-def source_expression(field: str, logic: str | None) -> str:
-    """Mapping expression over ``RAW_DATA``; ``source_value`` stands for the field."""
-    value = f"try_variant_get(RAW_DATA, {_double_quoted(json_path(field))}, 'string')"
+def source_expression(fields: str | list[str], logic: str | None) -> str:
+    """Mapping expression over ``RAW_DATA``; ``source_value`` stands for the field.
+
+    Of several spellings of the field the first present one is taken.
+    """
+    names = [fields] if isinstance(fields, str) else fields
+    reads = [f"try_variant_get(RAW_DATA, {_double_quoted(json_path(name))}, 'string')" for name in names]
+    value = reads[0] if len(reads) == 1 else f"coalesce({', '.join(reads)})"
     if not logic or not logic.strip():
         return value
-    marker = "source_value"
-    translated = to_spark(logic)
-    return re.sub(rf"\b{marker}\b", lambda _: value, translated, flags=re.I)
+    return re.sub(r"\bsource_value\b", lambda _: value, to_spark(logic), flags=re.I)
 
 
 def standard_expression(column: str, logic: str) -> str:

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from feedmill import model
 from feedmill.functions import dialect
 from feedmill.functions.dates import ntz
-from feedmill.functions.variant import read_field
 from feedmill.operators import dedup, rules as rule_ops
 from feedmill.operators.joins import collect_metadata
 from feedmill.operators.limits import batch_bounds
@@ -70,11 +69,7 @@ def mapping_column(mapping: Mapping, known_fields: list[str] | None = None) -> C
         spellings = exact + others or [field]
     else:
         spellings = list(dict.fromkeys([field, field.upper(), field.lower()]))
-    if mapping.logic and mapping.logic.strip():
-        parts = [F.expr(dialect.source_expression(s, mapping.logic)) for s in spellings]
-    else:
-        parts = [read_field(F.col("raw_data"), s) for s in spellings]
-    return parts[0] if len(parts) == 1 else F.coalesce(*parts)
+    return F.expr(dialect.source_expression(spellings, mapping.logic))
 
 
 def project(raw: DataFrame, mappings: list[Mapping], types: dict[str, str] | None = None,

@@ -602,14 +602,13 @@ def raw_claims(s, d) -> DataFrame:
     tpa = F.concat(F.lit("provider_"), F.substring("plan_type", 1, 1))
     number = F.concat(F.lit(" "), F.col("claim_num"), F.lit(" "))
     money = F.format_string("%.2f", F.col("billed"))
-    plain = F.create_map(
-        F.lit("CLM_NBR"), number, F.lit("PAT_FNAME"), F.col("first_name"),
-        F.lit("SVC_DT"), F.date_format("service_date", "MM-dd-yyyy"), F.lit("CHRG_AMT"), money,
-        F.lit("NPI"), F.col("provider_npi"), F.lit("STATUS"), F.col("status"))
-    other = F.create_map(
-        F.lit("Claim Number"), F.col("claim_num"), F.lit("MEMBER"), F.col("first_name"),
-        F.lit("Service From"), F.date_format("service_date", "yyyy-MM-dd"), F.lit("CHRG_AMT"), money,
-        F.lit("NPI"), F.col("provider_npi"), F.lit("STATUS"), F.col("status"))
+    shared = [money.alias("CHRG_AMT"), F.col("provider_npi").alias("NPI"), F.col("status").alias("STATUS")]
+    plain = F.to_variant_object(F.struct(
+        number.alias("CLM_NBR"), F.col("first_name").alias("PAT_FNAME"),
+        F.date_format("service_date", "MM-dd-yyyy").alias("SVC_DT"), *shared))
+    other = F.to_variant_object(F.struct(
+        F.col("claim_num").alias("Claim Number"), F.col("first_name").alias("MEMBER"),
+        F.date_format("service_date", "yyyy-MM-dd").alias("Service From"), *shared))
     return c.select(
         (F.col("raw_id") + 1).alias("raw_id"), tpa.alias("tpa"),
         T.stored_object(F.when(tpa == "provider_2", other).otherwise(plain)),

@@ -63,12 +63,12 @@ def raw(spark, d, with_data: bool = True) -> DataFrame:
     text = lambda c: F.col(c).cast("string")
     k = F.get_json_object("props", "$.k")
     value = F.when(F.col("value") <= 400, text("value"))
-    common = [F.lit("event_id"), text("event_id"), F.lit("k"), k]
+    common = [text("event_id").alias("event_id"), k.alias("k")]
+    user, amount = text("user_id"), value.alias("value")
     entries = (
-        F.when(F.col("event_type") == "error", F.create_map(*common, F.lit("user_id"), text("user_id")))
-        .when(F.col("event_type") == "signup",
-              F.create_map(*common, F.lit("USER_ID"), text("user_id"), F.lit("value"), value))
-        .otherwise(F.create_map(*common, F.lit("user_id"), text("user_id"), F.lit("value"), value))
+        F.when(F.col("event_type") == "error", F.to_variant_object(F.struct(*common, user.alias("user_id"))))
+        .when(F.col("event_type") == "signup", F.to_variant_object(F.struct(*common, user.alias("USER_ID"), amount)))
+        .otherwise(F.to_variant_object(F.struct(*common, user.alias("user_id"), amount)))
     )
     columns = [
         F.col("event_id").alias("raw_id"),
@@ -89,10 +89,10 @@ def raw(spark, d, with_data: bool = True) -> DataFrame:
 def stored_object(entries):
     """The object of a row, computed once per row as if it were read from a table.
 
-    The generator keeps the optimizer from copying the JSON parsing into every
+    The generator keeps the optimizer from copying the construction into every
     expression over the object.
     """
-    return F.explode(F.array(F.parse_json(F.to_json(entries)))).alias("raw_data")
+    return F.explode(F.array(entries)).alias("raw_data")
 
 
 def master(spark, d) -> DataFrame:
