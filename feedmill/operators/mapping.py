@@ -7,6 +7,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from feedmill.functions.text import normalise_name
 from feedmill.functions.variant import fields_of
@@ -45,7 +46,7 @@ def field_inventory(raw: DataFrame) -> DataFrame:
     )
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def sequence_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     """Matching-block similarity (2 * matched / total characters)."""
     return pd.Series(

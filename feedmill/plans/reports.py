@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from feedmill.functions.dates import boundary_diff
 from feedmill.functions.text import rows_in_result
+from feedmill.operators.dedup import mark_duplicates
 from feedmill.operators.joins import queue_with_provider
 from feedmill.operators.limits import page, top
 
-N = F.count(F.lit(1))
+
+def _rows() -> Column:
+    return F.count(F.lit(1))
 
 
 def _since(column: str, as_of: Column, interval: str) -> Column:
@@ -22,7 +25,7 @@ def _since(column: str, as_of: Column, interval: str) -> Column:
 def _load_span(rows: DataFrame, keys: list[str]) -> DataFrame:
     """rows, distinct files, first and last load per key, folded per file first."""
     per_file = rows.groupBy(*keys, "file_name").agg(
-        N.alias("n"), F.min("load_timestamp").alias("lo"), F.max("load_timestamp").alias("hi")
+        _rows().alias("n"), F.min("load_timestamp").alias("lo"), F.max("load_timestamp").alias("hi")
     )
     return per_file.groupBy(*keys).agg(
         F.sum("n").alias("row_count"), F.count("file_name").alias("file_count"),
@@ -32,14 +35,14 @@ def _load_span(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 def queue_status(queue: DataFrame) -> DataFrame:
     return queue.groupBy("status", "file_type").agg(
-        N.alias("file_count"),
+        _rows().alias("file_count"),
         F.min("discovered_timestamp").alias("oldest"),
         F.max("discovered_timestamp").alias("newest"),
     ).orderBy("status", "file_type")
 
 
 def files_per_stage(listings: dict[str, DataFrame]) -> DataFrame:
-    counted = [df.agg(N.alias("file_count")).select(F.lit(name).alias("stage"), "file_count")
+    counted = [df.agg(_rows().alias("file_count")).select(F.lit(name).alias("stage"), "file_count")
                for name, df in listings.items()]
     return reduce(DataFrame.unionByName, counted)
 
@@ -86,11 +89,11 @@ def provider_file_status(
     Rows are folded per file and queue rows per file and status before they
     meet, so the row-weighted product is computed by multiplication.
     """
-    files = raw.groupBy("tpa", "file_name").agg(N.alias("weight"))
+    files = raw.groupBy("tpa", "file_name").agg(_rows().alias("weight"))
     if per_file:
         files = files.withColumn("weight", F.lit(1))
     states = queue.groupBy("file_name").agg(
-        N.alias("total"),
+        _rows().alias("total"),
         *[F.count_if(F.col("status") == s).alias(s) for s in ("SUCCESS", "FAILED", "PENDING")],
     )
     weighted = lambda c: F.sum(F.col("weight") * F.col(c))
@@ -125,7 +128,7 @@ def provider_uploads(raw: DataFrame, as_of: Column, days: int = 7) -> DataFrame:
 def provider_volume(raw: DataFrame, per_file: bool = False) -> DataFrame:
     """Bytes per provider, weighted by raw rows; ``per_file`` counts each file once."""
     per = raw.groupBy("tpa", "file_name").agg(
-        N.alias("n"), F.sum("file_size").alias("bytes"), F.count("file_size").alias("sized"),
+        _rows().alias("n"), F.sum("file_size").alias("bytes"), F.count("file_size").alias("sized"),
         F.max("file_size").alias("size"),
     )
     if per_file:
@@ -154,7 +157,7 @@ def orphan_providers(raw: DataFrame, master: DataFrame) -> DataFrame:
 
 
 def null_provider_totals(raw: DataFrame) -> DataFrame:
-    per_file = raw.filter("tpa IS NULL").groupBy("file_name").agg(N.alias("n"))
+    per_file = raw.filter("tpa IS NULL").groupBy("file_name").agg(_rows().alias("n"))
     return per_file.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("null_tpa_count"), F.count("file_name").alias("affected_files")
     )
@@ -164,7 +167,7 @@ def null_provider_files(raw: DataFrame) -> DataFrame:
     return (
         raw.filter("tpa IS NULL")
         .groupBy("file_name", "stage_name")
-        .agg(F.min("load_timestamp").alias("first_loaded"), N.alias("row_count"))
+        .agg(F.min("load_timestamp").alias("first_loaded"), _rows().alias("row_count"))
         .orderBy(F.desc("first_loaded"))
     )
 
@@ -179,7 +182,7 @@ def processing_statistics(queue: DataFrame, raw: DataFrame | None = None, tpa: s
         queue = queue.join(files, "file_name", "left_semi")
     state = lambda s: F.count_if(F.col("status") == s)
     return queue.agg(
-        N.alias("total_files"),
+        _rows().alias("total_files"),
         state("SUCCESS").alias("successful_files"),
         state("FAILED").alias("failed_files"),
         state("PROCESSING").alias("processing_files"),
@@ -190,7 +193,7 @@ def processing_statistics(queue: DataFrame, raw: DataFrame | None = None, tpa: s
 
 def raw_summary(raw: DataFrame) -> DataFrame:
     per_file = raw.groupBy("tpa", "file_name").agg(
-        N.alias("n"), F.min("load_timestamp").alias("lo"), F.max("load_timestamp").alias("hi")
+        _rows().alias("n"), F.min("load_timestamp").alias("lo"), F.max("load_timestamp").alias("hi")
     )
     per_name = per_file.groupBy("file_name").agg(
         F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
@@ -199,13 +202,13 @@ def raw_summary(raw: DataFrame) -> DataFrame:
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"), F.count("file_name").alias("unique_files"),
         F.min("lo").alias("earliest_load"), F.max("hi").alias("latest_load"),
     )
-    tpas = per_file.groupBy("tpa").agg(N.alias("n")).agg(F.count("tpa").alias("n")).scalar()
+    tpas = per_file.groupBy("tpa").agg(_rows().alias("n")).agg(F.count("tpa").alias("n")).scalar()
     return totals.select("total_rows", "unique_files", tpas.alias("unique_tpas"), "earliest_load", "latest_load")
 
 
 def mapping_totals(mappings: DataFrame) -> DataFrame:
     return mappings.agg(
-        N.alias("total_mappings"),
+        _rows().alias("total_mappings"),
         F.count_if(F.col("approved")).alias("approved_mappings"),
         F.count_distinct("target_table").alias("target_tables"),
         F.count_distinct("source_field").alias("source_fields"),
@@ -214,7 +217,7 @@ def mapping_totals(mappings: DataFrame) -> DataFrame:
 
 def rule_totals(rules: DataFrame) -> DataFrame:
     return rules.agg(
-        N.alias("total_rules"),
+        _rows().alias("total_rules"),
         F.count_if(F.col("active")).alias("active_rules"),
         F.count_distinct("rule_type").alias("rule_types"),
     )
@@ -232,7 +235,7 @@ def daily_batch_trend(log: DataFrame, as_of: Column, days: int = 7) -> DataFrame
         log.filter(_since("start_timestamp", as_of, f"{days} DAYS"))
         .groupBy(F.to_date("start_timestamp").alias("date"))
         .agg(
-            N.alias("batches"),
+            _rows().alias("batches"),
             F.sum("records_processed").alias("total_records"),
             F.avg(boundary_diff("second", F.col("start_timestamp"), F.col("end_timestamp"))).alias("avg_duration_sec"),
             F.count_if(F.col("status") == "SUCCESS").alias("successful_batches"),
@@ -259,7 +262,7 @@ def top_quarantine_reasons(quarantine: DataFrame, n: int = 10) -> DataFrame:
         "quarantine_id", F.explode("failed_rules").alias("rule_id")
     )
     counted = reasons.groupBy("rule_id").agg(
-        N.alias("violation_count"), F.count_distinct("quarantine_id").alias("unique_records")
+        _rows().alias("violation_count"), F.count_distinct("quarantine_id").alias("unique_records")
     )
     return top(counted, [F.desc("violation_count"), F.asc("rule_id")], n)
 
@@ -275,7 +278,7 @@ def quarantine_rate(log: DataFrame, as_of: Column, hours: int = 1, limit: float
 
 def records_by_file(rows: DataFrame, file_column: str, time_column: str) -> DataFrame:
     return rows.groupBy(F.col(file_column).alias("source_file_name")).agg(
-        N.alias("record_count"),
+        _rows().alias("record_count"),
         F.min(time_column).alias("first_ingested"), F.max(time_column).alias("last_ingested"),
     )
 
@@ -289,7 +292,7 @@ def batch_metrics_per_target(log: DataFrame) -> DataFrame:
 
 def queue_durations(queue: DataFrame) -> DataFrame:
     return queue.groupBy("status").agg(
-        N.alias("files"),
+        _rows().alias("files"),
         F.sum(rows_in_result(F.col("process_result")).cast("long")).alias("rows"),
         F.avg(boundary_diff("second", F.col("discovered_timestamp"), F.col("processed_timestamp"))).alias("avg_seconds"),
     )
@@ -304,7 +307,7 @@ def config_checks(schemas: DataFrame, mappings: DataFrame, rules: DataFrame) ->
         ("Transformation rules", rules),
     ]
     rows = [
-        df.agg(N.alias("found")).select(
+        df.agg(_rows().alias("found")).select(
             F.lit(label).alias("component"), "found",
             F.when(F.col("found") > 0, "PASS").otherwise("FAIL").alias("check_result"),
         )
@@ -314,13 +317,13 @@ def config_checks(schemas: DataFrame, mappings: DataFrame, rules: DataFrame) ->
 
 
 def mappings_per_tpa(mappings: DataFrame) -> DataFrame:
-    return mappings.filter("approved").groupBy("tpa").agg(N.alias("mapping_count")).orderBy(
+    return mappings.filter("approved").groupBy("tpa").agg(_rows().alias("mapping_count")).orderBy(
         F.asc_nulls_first("tpa")
     )
 
 
 def rules_per_tpa(rules: DataFrame) -> DataFrame:
-    return rules.filter("active").groupBy("tpa", "rule_type").agg(N.alias("rule_count")).orderBy(
+    return rules.filter("active").groupBy("tpa", "rule_type").agg(_rows().alias("rule_count")).orderBy(
         F.asc_nulls_first("tpa"), "rule_type"
     )
 
@@ -332,7 +335,7 @@ def quarantine_list(quarantine: DataFrame, n: int = 50) -> DataFrame:
 def rows_per_provider(raw: DataFrame, by_file: bool = False) -> DataFrame:
     if by_file:
         return raw.groupBy("tpa", "file_name").agg(
-            N.alias("row_count"), F.min("load_timestamp").alias("first_upload"),
+            _rows().alias("row_count"), F.min("load_timestamp").alias("first_upload"),
             F.max("load_timestamp").alias("last_upload"),
         )
     return _load_span(raw, ["tpa"])
@@ -345,7 +348,7 @@ def mappings_by_confidence(mappings: DataFrame, tpa: str) -> DataFrame:
 
 
 def columns_per_table(schemas: DataFrame, tpa: str) -> DataFrame:
-    return schemas.filter(F.col("tpa") == tpa).groupBy("table_name").agg(N.alias("column_count"))
+    return schemas.filter(F.col("tpa") == tpa).groupBy("table_name").agg(_rows().alias("column_count"))
 
 
 def longest_rules(rules: DataFrame, tpa: str, n: int = 20) -> DataFrame:
@@ -357,13 +360,13 @@ def longest_rules(rules: DataFrame, tpa: str, n: int = 20) -> DataFrame:
 
 def required_columns(schemas: DataFrame) -> DataFrame:
     return schemas.groupBy("table_name").agg(
-        N.alias("column_count"), F.count_if(~F.col("nullable")).alias("required_columns")
+        _rows().alias("column_count"), F.count_if(~F.col("nullable")).alias("required_columns")
     )
 
 
 def mappings_per_target(mappings: DataFrame) -> DataFrame:
     return mappings.groupBy("target_table").agg(
-        N.alias("mapping_count"),
+        _rows().alias("mapping_count"),
         F.count_distinct("source_field").alias("source_fields"),
         F.count_distinct("target_column").alias("target_columns"),
         F.count_if(F.col("approved")).alias("approved_count"),
@@ -372,7 +375,7 @@ def mappings_per_target(mappings: DataFrame) -> DataFrame:
 
 def rules_per_target(rules: DataFrame) -> DataFrame:
     return rules.groupBy("target_table", "rule_type").agg(
-        N.alias("rule_count"), F.count_if(F.col("active")).alias("active_count")
+        _rows().alias("rule_count"), F.count_if(F.col("active")).alias("active_count")
     )
 
 
@@ -399,21 +402,19 @@ def browse_table(rows: DataFrame, where: str | None, order_column: str, limit: i
     return page(chosen, [F.desc(order_column)], limit, offset)
 
 
-# The sort orders a mapping list offers.
+# The sort orders a mapping list offers (column, descending).
 MAPPING_ORDERS = {
-    "confidence_desc": [F.desc("confidence_score")],
-    "confidence_asc": [F.asc("confidence_score")],
-    "source": [F.asc("source_field")],
-    "target": [F.asc("target_table"), F.asc("target_column")],
-    "method": [F.asc("mapping_method")],
-    "newest": [F.desc("mapping_id")],
+    "confidence_desc": [("confidence_score", True)],
+    "confidence_asc": [("confidence_score", False)],
+    "source": [("source_field", False)],
+    "target": [("target_table", False), ("target_column", False)],
+    "method": [("mapping_method", False)],
+    "newest": [("mapping_id", True)],
 }
 
 
 def list_mappings(mappings: DataFrame, table: str | None = None, tpa: str | None = None,
                   status: str | None = None, order: str = "newest") -> DataFrame:
-    from feedmill.operators.dedup import mark_duplicates
-
     rows = mappings
     if table:
         rows = rows.filter(F.col("target_table") == table)
@@ -424,7 +425,7 @@ def list_mappings(mappings: DataFrame, table: str | None = None, tpa: str | None
     rows = rows.withColumn("status", label)
     if status:
         rows = rows.filter(F.col("status") == status)
-    return rows.orderBy(*MAPPING_ORDERS[order], F.asc("mapping_id"))
+    return rows.orderBy(*[F.desc(c) if down else F.asc(c) for c, down in MAPPING_ORDERS[order]], F.asc("mapping_id"))
 
 
 def list_rules(rules: DataFrame, rule_type: str | None = None, table: str | None = None,
