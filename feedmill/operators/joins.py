@@ -119,8 +119,26 @@ def effective_mappings(mappings: DataFrame, tpa: str | None = None) -> DataFrame
 
 def bounded_broadcast(df: DataFrame, limit: int = METADATA_ROWS) -> DataFrame:
     """Broadcast ``df`` only if it has at most ``limit`` rows; else leave the choice to AQE."""
-    small = len(df.limit(limit + 1).select(F.lit(1)).collect()) <= limit
-    return F.broadcast(df) if small else df
+    return F.broadcast(df) if is_small(df, limit) else df
+
+
+def is_small(df: DataFrame, limit: int = METADATA_ROWS) -> bool:
+    return df.limit(limit + 1).count() <= limit
+
+
+def attach_reference(rows: DataFrame, column: str, facts: DataFrame, key: str) -> DataFrame:
+    """Left join with a reference table holding one row per ``key``.
+
+    A small reference is broadcast after its size was checked. A large one is
+    joined by key counts, so a hot value of ``column`` is spread out. A NULL
+    value finds nothing.
+    """
+    facts = facts.filter(F.col(key).isNotNull())
+    if is_small(facts):
+        return rows.join(F.broadcast(facts), F.col(column) == F.col(key), "left").drop(key)
+    weights = rows.groupBy(column).agg(F.count(F.lit(1)).alias("_weight"))
+    per_value = weights.join(facts, F.col(column) == F.col(key), "left").drop(key)
+    return attach_by_key(rows, per_value, [column], "_weight").drop("_weight")
 
 
 def _all(conditions: list[Column]) -> Column:

@@ -14,6 +14,7 @@ from feedmill.functions.variant import fields_of
 from feedmill.operators.dedup import top_per_group
 from feedmill.operators.joins import bounded_broadcast
 from feedmill.operators.merge import rows_to_insert, update_where
+from feedmill.session import stage
 
 MAPPING_KEY = ["source_field", "target_table", "target_column", "tpa"]
 # How a mapping may come about.
@@ -113,19 +114,23 @@ def score_pairs(sources: DataFrame, targets: DataFrame, min_confidence: float =
 
     Pairs meet on a shared piece of the normalised name (two letters, or one
     letter when the minimum is low enough for that to matter), so no pair that
-    can reach the minimum is missed and no all-pairs product is formed.
+    can reach the minimum is missed and no all-pairs product is formed. Names
+    and weights are written once, as each is read several times.
     """
     if min_confidence <= 0:
         raise ValueError("min_confidence must be above zero")
-    src = sources.select("source_field").distinct().withColumn("s", normalise_name(F.col("source_field")))
-    tgt = (
+    src = stage(
+        sources.select("source_field").distinct().withColumn("s", normalise_name(F.col("source_field"))),
+        "source_names",
+    )
+    tgt = stage(
         targets.select("target_table", "target_column").distinct()
-        .withColumn("t", normalise_name(F.col("target_column")))
+        .withColumn("t", normalise_name(F.col("target_column"))),
+        "target_names",
     )
     copies = src.select(F.col("s").alias("name")).unionByName(tgt.select(F.col("t").alias("name")))
     documents = copies.groupBy("name").agg(F.count(F.lit(1)).alias("copies"))
-    weights = gram_weights(documents)
-
+    weights = stage(gram_weights(stage(documents, "names")), "gram_weights")
     s_names, t_names = src.select("s").distinct(), tgt.select("t").distinct()
     dots = gram_cosines(weights, s_names, t_names)
     candidates = dots.unionByName(

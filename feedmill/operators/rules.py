@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from feedmill.functions import dialect
 from feedmill.functions.dates import spark_pattern
 from feedmill.operators import dedup
-from feedmill.operators.joins import bounded_broadcast, collect_metadata
+from feedmill.operators.joins import attach_reference, collect_metadata
 
 QUALITY, BUSINESS = "DATA_QUALITY", "BUSINESS_LOGIC"
 STANDARD, DEDUP = "STANDARDIZATION", "DEDUPLICATION"
@@ -318,19 +318,16 @@ def _reference_check(
     p = rule.rule_parameters
     known = references[p["reference_table"]].select(
         F.col(p["reference_column"]).alias("_ref_key")
-    ).filter("_ref_key IS NOT NULL").distinct().withColumn(flag, F.lit(True))
-    joined = df.join(
-        bounded_broadcast(known), F.col(rule.target_column) == F.col("_ref_key"), "left"
-    ).drop("_ref_key")
+    ).distinct().withColumn(flag, F.lit(True))
+    joined = attach_reference(df, rule.target_column, known, "_ref_key")
     return joined, F.col(rule.target_column).isNotNull() & F.col(flag).isNull()
 
 
 def missing_references(rows: DataFrame, column: str, reference: DataFrame, key: str) -> DataFrame:
     """Rows whose non-null value the reference table lacks."""
-    known = reference.select(F.col(key).alias("_ref_key")).distinct()
-    return rows.filter(F.col(column).isNotNull()).join(
-        bounded_broadcast(known), F.col(column) == F.col("_ref_key"), "left_anti"
-    )
+    known = reference.select(F.col(key).alias("_ref_key")).distinct().withColumn("_known", F.lit(True))
+    joined = attach_reference(rows.filter(F.col(column).isNotNull()), column, known, "_ref_key")
+    return joined.filter(F.col("_known").isNull()).drop("_known")
 
 
 def look_up(
@@ -338,7 +335,7 @@ def look_up(
 ) -> DataFrame:
     """Derived column read from a reference table (one value per key, smallest wins)."""
     facts = reference.groupBy(F.col(key).alias("_ref_key")).agg(F.min(value).alias(name))
-    return rows.join(bounded_broadcast(facts), F.col(column) == F.col("_ref_key"), "left").drop("_ref_key")
+    return attach_reference(rows, column, facts, "_ref_key")
 
 
 def _gate(df: DataFrame, rule: Rule) -> Column | None:

@@ -18,6 +18,8 @@ from feedmill.sources import tabular
 
 FILES_PER_RUN = 10
 MAX_RETRIES = 3
+# Up to this many file names are pushed to the scan of the rows already loaded.
+PUSHED_FILES = 1000
 
 
 def discover_files(store: Store, landing: str, as_of: Column) -> int:
@@ -115,11 +117,11 @@ def load_files(store: Store, landing: str, files: list[tuple[str, str]], as_of:
         F.col("size").alias("file_size"), F.col("last_modified").alias("file_last_modified"),
         paths.provider(name).alias("tpa"),
     )
-    known = store.read("raw_data").select("file_name", "file_row_number", "tpa").join(
-        F.broadcast(good.select("file_name")), "file_name", "left_semi"
-    )
     tpas = [r[0] for r in good.select(paths.provider(name)).distinct().collect()]
-    known = known.filter(F.col("tpa").isin(tpas)) if tpas else known.limit(0)
+    known = store.read("raw_data").select("file_name", "file_row_number", "tpa").filter(F.col("tpa").isin(tpas))
+    if len(files) <= PUSHED_FILES:
+        known = known.filter(F.col("file_name").isin([f for f, _ in files]))
+    known = known.join(F.broadcast(good.select("file_name")), "file_name", "left_semi")
     fresh = rows_to_insert(rows, known, ["file_name", "file_row_number"])
     if total:
         store.append("raw_data", fresh, partition_by=["tpa"])

@@ -61,6 +61,8 @@ class Store:
             rows = conform(rows, model.TABLES[table])
         writer = rows.write.mode("append")
         if partition_by:
+            # Few files per folder; AQE splits a folder holding most of the rows.
+            writer = rows.hint("rebalance", *[F.col(c) for c in partition_by]).write.mode("append")
             writer = writer.partitionBy(*partition_by)
         writer.parquet(self.path(table))
 
@@ -145,7 +147,8 @@ class Store:
             updated = keyed.join(old.select(BUCKET, key), [BUCKET, key], "left_semi").count()
             merged = merge_rows(old, keyed, [BUCKET, key], update, set_values, insert_values)
             (
-                merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                merged.hint("rebalance", F.col(BUCKET))
+                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                 .partitionBy(BUCKET).parquet(self.path(table))
             )
         if total and keyless.limit(1).count():

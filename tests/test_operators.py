@@ -257,6 +257,17 @@ def test_config_files(spark, tmp_path):
     assert (rule.priority, rule.error_action, rule.rule_parameters) == (100, "LOG", {"strategy": "KEEP_LAST"})
 
 
+def test_large_reference_equals_small_one(spark, skewed, monkeypatch):
+    rows, df = skewed
+    reference = spark.createDataFrame([("hot", "h"), ("k1", "one"), ("k2", "two"), (None, "none")], "k string, v string")
+    small = {r.raw_id: r.v for r in rules.look_up(df, "key", reference, "k", "v", "v").collect()}
+    missing = {r.raw_id for r in rules.missing_references(df, "key", reference, "k").collect()}
+    monkeypatch.setattr(joins, "is_small", lambda *_: False)
+    assert small == {r.raw_id: r.v for r in rules.look_up(df, "key", reference, "k", "v", "v").collect()}
+    assert missing == {r.raw_id for r in rules.missing_references(df, "key", reference, "k").collect()}
+    assert small == {i: {"hot": "h", "k1": "one", "k2": "two"}.get(k) for i, k, _ in rows}
+
+
 def test_metadata_limit(spark):
     with pytest.raises(joins.MetadataTooLarge):
         joins.collect_metadata(spark.range(20), 10)
