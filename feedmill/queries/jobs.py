@@ -361,7 +361,7 @@ SINKS = {
     "snk_02_load_counters": Query(
         lambda s, d: _raw_keys(s, d).groupBy("tpa").agg(F.count(F.lit(1)).alias("processed")).join(
             _fresh(s, d).groupBy("tpa").agg(F.count(F.lit(1)).alias("inserted")), "tpa", "left").withColumn(
-            "skipped", F.col("processed") - F.col("inserted")),
+            "inserted", F.coalesce("inserted", F.lit(0))).withColumn("skipped", F.col("processed") - F.col("inserted")),
         sql("raw", """SELECT tpa, count(*) AS processed, count(CASE WHEN value > 250 THEN 1 END) AS inserted,
             count(CASE WHEN value <= 250 THEN 1 END) AS skipped FROM raw GROUP BY tpa""")),
     "snk_03_staged_batch": Query(
