@@ -45,12 +45,15 @@ def attach_by_key(
     same_hot = _all([F.col(k).eqNullSafe(F.col(f"_hk_{k}")) for k in keys])
     marked = rows.join(F.broadcast(hot), same_hot, "left").drop(*[f"_hk_{k}" for k in keys])
     salt = F.when(
-        F.col("_hot").isNotNull(), F.lit(1) + F.spark_partition_id()
-    ).otherwise(F.lit(0))
+        F.col("_hot").isNotNull(), (F.lit(1) + F.spark_partition_id()).cast("bigint")
+    ).otherwise(F.lit(0).cast("bigint"))
     marked = marked.withColumn("_salt", salt)
+    # Always zero, but not a literal: a constant would be folded out of the join
+    # keys and the hot rows would meet in one partition again.
+    zero = F.least(F.col(weight), F.lit(0)).cast("bigint")
     cold = per_key.select(
         *[F.col(k).alias(f"_ck_{k}") for k in keys],
-        F.lit(0).alias("_csalt"),
+        zero.alias("_csalt"),
         F.struct(*facts).alias("_cold"),
     )
     same_cold = _all(

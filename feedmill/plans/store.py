@@ -41,18 +41,31 @@ class Store:
         fs, target = self._folder(self.path(table))
         return fs.exists(target)
 
-    def versions(self, table: str) -> list[int]:
-        """Complete snapshot numbers of a table, oldest first."""
+    def _numbers(self, table: str) -> list[int]:
         fs, target = self._folder(self.path(table))
         if not fs.exists(target):
             return []
-        found = []
-        for entry in fs.listStatus(target):
-            name = entry.getPath().getName()
-            done, marker = self._folder(f"{self.path(table)}/{name}/_SUCCESS")
-            if name.startswith("v") and name[1:].isdigit() and done.exists(marker):
-                found.append(int(name[1:]))
-        return sorted(found)
+        names = [entry.getPath().getName() for entry in fs.listStatus(target)]
+        return sorted(int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit())
+
+    def _complete(self, table: str, version: int) -> bool:
+        fs, marker = self._folder(f"{self.path(table)}/v{version}/_SUCCESS")
+        return fs.exists(marker)
+
+    def versions(self, table: str) -> list[int]:
+        """Complete snapshot numbers of a table, oldest first."""
+        return [v for v in self._numbers(table) if self._complete(table, v)]
+
+    def latest(self, table: str) -> int | None:
+        return next((v for v in reversed(self._numbers(table)) if self._complete(table, v)), None)
+
+    def purge(self, table: str, keep: int = 10) -> int:
+        """Delete all but the newest ``keep`` snapshots; returns how many went."""
+        old = self.versions(table)[:-keep]
+        for version in old:
+            fs, target = self._folder(f"{self.path(table)}/v{version}")
+            fs.delete(target, True)
+        return len(old)
 
     # -- append-only ------------------------------------------------------------
 
@@ -78,15 +91,14 @@ class Store:
     # -- snapshots ---------------------------------------------------------------
 
     def snapshot(self, table: str, version: int | None = None) -> DataFrame:
-        found = self.versions(table)
-        if not found:
+        chosen = self.latest(table) if version is None else version
+        if chosen is None:
             return model.empty(self.spark, table)
-        chosen = found[-1] if version is None else version
         return self.spark.read.schema(model.TABLES[table]).parquet(f"{self.path(table)}/v{chosen}")
 
     def replace(self, table: str, rows: DataFrame) -> int:
         """Write the next snapshot; readers switch when it is complete."""
-        version = (self.versions(table) or [0])[-1] + 1
+        version = (self._numbers(table) or [0])[-1] + 1
         conform(rows, model.TABLES[table]).write.mode("overwrite").parquet(f"{self.path(table)}/v{version}")
         return version
 

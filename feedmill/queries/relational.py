@@ -175,7 +175,7 @@ JOINS = {
             FROM master JOIN raw ON tpa_code = tpa JOIN queue USING (file_name) GROUP BY tpa_code""")),
     "join_05_anti_outer_null": Query(
         lambda s, d: T.raw(s, d, False).join(
-            F.broadcast(T.master(s, d)), F.col("tpa") == F.col("tpa_code"), "left_anti").groupBy("tpa").count(),
+            joins.bounded_broadcast(T.master(s, d)), F.col("tpa") == F.col("tpa_code"), "left_anti").groupBy("tpa").count(),
         sql("master", "SELECT tpa, count(*) AS count FROM raw LEFT JOIN master ON tpa = tpa_code WHERE tpa_code IS NULL GROUP BY tpa")),
     "join_06_not_exists": Query(
         lambda s, d: mapping.orphan_mappings(T.mappings(s, d), T.schemas(s, d)).select("mapping_id"),

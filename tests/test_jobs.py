@@ -214,6 +214,8 @@ def test_schema_changes_keep_data(spark, landing, tmp_path):
     assert store.snapshot("field_mappings").count() == 0
     store.restore("field_mappings", version)
     assert store.snapshot("field_mappings").count() == 9
+    assert store.purge("field_mappings", keep=1) > 0
+    assert len(store.versions("field_mappings")) == 1 and store.snapshot("field_mappings").count() == 9
 
 
 def test_reprocessing(spark, landing, tmp_path):

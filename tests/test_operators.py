@@ -43,6 +43,17 @@ def test_attach_by_key_is_exact_under_skew(skewed, hot_keys):
     assert got == {i: want[k] for i, k, _ in rows}
 
 
+def test_hot_rows_are_spread(spark):
+    df = spark.range(0, 40_000, 1, 8).select(
+        F.col("id").alias("raw_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("key"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        spread = joins.with_key_count(df, ["key"]).filter("key = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(spread) > 1 and sum(r["count"] for r in spread) == 13_334
+
+
 def test_duplicates_split_and_merge(skewed):
     rows, df = skewed
     want = Counter(k for _, k, _ in rows)
