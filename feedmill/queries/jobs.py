@@ -17,13 +17,16 @@ from pyspark.sql import functions as F
 from feedmill import session
 from feedmill.functions import paths
 from feedmill.functions.dates import ntz
+from feedmill.functions.dialect import type_name
 from feedmill.operators import limits
+from feedmill.operators.dedup import keep_last
 from feedmill.operators.merge import apply_changes, delete_where, merge_rows, rows_to_insert, update_where
+from feedmill.operators.rules import active_rules
 from feedmill.plans import bronze, schema_admin as A, silver
 from feedmill.plans.store import Store
 from feedmill.queries import tables as T
 from feedmill.queries.quality import rule_frame
-from feedmill.queries.tables import Query, as_of, sql, with_text_times as shown
+from feedmill.queries.tables import Query, as_of, sql
 from feedmill.sources import config_files, listing as L, tabular
 from feedmill.streaming import ingest
 
@@ -284,8 +287,6 @@ def _upserted(s, d):
     store.create("CLAIMS", "CLAIM_NUM string, LAST_ID bigint, STATUS string, CREATED_AT timestamp_ntz")
     claims = T.claims(s, d).select(
         F.col("claim_num").alias("CLAIM_NUM"), F.col("raw_id").alias("LAST_ID"), F.col("status").alias("STATUS"))
-    from feedmill.operators.dedup import keep_last
-
     counts = []
     for part, batch in enumerate(("LAST_ID % 2 = 0", "LAST_ID % 2 = 1")):
         rows = session.stage(keep_last(claims.filter(batch), ["CLAIM_NUM"], "LAST_ID"), "claims")
@@ -617,8 +618,6 @@ def raw_claims(s, d) -> DataFrame:
 
 
 def claim_types() -> dict[str, str]:
-    from feedmill.functions.dialect import type_name
-
     return {c: type_name(t) for c, t in CLAIM_TARGET}
 
 
@@ -628,8 +627,6 @@ def claim_mappings() -> list[silver.Mapping]:
 
 
 def silver_claims(s, d) -> DataFrame:
-    from feedmill.operators.rules import active_rules
-
     projected = silver.project(raw_claims(s, d), claim_mappings(), claim_types())
     return silver.apply_all_rules(projected, active_rules(rule_frame(s, CLAIM_RULES), "CLAIMS"), "CLAIMS")
 

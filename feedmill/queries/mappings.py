@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from feedmill.functions.text import normalise_name
 from feedmill.operators import joins, mapping as M, suggestions as S
+from feedmill.operators.dedup import keep_first
 from feedmill.operators.merge import apply_changes
 from feedmill.queries import tables as T
-from feedmill.queries.tables import Query, as_of, sql, with_text_times as shown
+from feedmill.queries.tables import Query, as_of, sql
 
 _NORM = "trim(lower(regexp_replace({}, '[^a-zA-Z0-9]', ' ', 'g')))"
 
@@ -91,7 +92,7 @@ RESPONSE_KINDS = """CASE conv_id % 5
 
 def _responses(s, d) -> DataFrame:
     """Model answers built from the conversations: clean, fenced, loose, wrong and free text."""
-    text = RESPONSE_KINDS.replace("chr(10)", "'\n'").replace("'\n'", "char(10)")
+    text = RESPONSE_KINDS.replace("chr(10)", "char(10)")
     return T.load(s, d, "conversations").selectExpr("conv_id", "turn", f"{text} AS response")
 
 
@@ -266,6 +267,4 @@ GROUP BY a.name, b.name"""),
 
 
 def _unique(s, d):
-    from feedmill.operators.dedup import keep_first
-
     return keep_first(T.mappings(s, d).filter("approved"), ["target_table", "target_column", "tpa"], "mapping_id")

@@ -394,11 +394,6 @@ FROM orders""",
 }
 
 
-def text_time(*columns: str):
-    """Select list helper: the named timestamps as text, so both engines print them alike."""
-    return {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in columns}
-
-
 def with_text_times(df: DataFrame) -> DataFrame:
     """Render every timestamp and date column as text."""
     out = {}
