@@ -193,6 +193,17 @@ def test_raw_to_silver(spark, landing, tmp_path):
     assert total.status == "SUCCESS"
 
 
+def test_stream_runs_silver_batches(spark, landing, tmp_path):
+    store = Store(spark, str(tmp_path / "lake"), buckets=2)
+    bronze.discover_files(store, landing, now())
+    drain(store, landing, 100)
+    silver_setup(store)
+    for _ in range(2):
+        ingest.stream_raw_to_silver(store, "CLAIMS", str(tmp_path / "cp"), lambda: DAY).awaitTermination()
+    assert store.silver("CLAIMS").count() == 7
+    assert store.snapshot("processing_watermarks").first().last_processed_id == 10
+
+
 def test_schema_changes_keep_data(spark, landing, tmp_path):
     store = Store(spark, str(tmp_path / "lake"), buckets=2)
     bronze.discover_files(store, landing, now())
