@@ -1,4 +1,4 @@
-"""Session helpers: where intermediate tables go, and how to write one."""
+"""Session helpers: where intermediate tables go, how to write one, how to drop it."""
 
 from __future__ import annotations
 
@@ -39,4 +39,17 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    staged = df.sparkSession.read.schema(df.schema).parquet(path)
+    staged._staged_path = path
+    return staged
+
+
+def drop_staged(*frames: DataFrame) -> None:
+    """Delete the files of tables that ``stage`` returned and nothing reads any more."""
+    for df in frames:
+        drop_path(df.sparkSession, df._staged_path)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
