@@ -11,7 +11,9 @@ import re
 from feedmill.functions.dates import spark_pattern
 from feedmill.functions.variant import json_path
 
-_OPERATOR_START = re.compile(r"^\s*(IS|IN|NOT|RLIKE|LIKE|ILIKE|REGEXP|BETWEEN|=|<|>|!=)", re.I)
+_OPERATOR_START = re.compile(
+    r"^\s*(?:IS\b|(?:NOT\s+)?(?:IN|RLIKE|LIKE|ILIKE|REGEXP|BETWEEN)\b|=|<|>|!=)", re.I
+)
 
 
 def repair_commas(text: str) -> str:

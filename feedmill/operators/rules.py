@@ -144,7 +144,8 @@ def _analysis_error(df: DataFrame, text: str) -> str | None:
     try:
         df.select(F.expr(text)).schema
     except (AnalysisException, ParseException) as error:
-        return str(error).splitlines()[0]
+        lines = str(error).strip().splitlines()
+        return lines[0] if lines else type(error).__name__
     return None
 
 
@@ -436,8 +437,12 @@ def apply_dedup_rules(
     spark = batch.sparkSession
     df, held, metrics = batch, None, spark.createDataFrame([], METRIC_SCHEMA)
     for rule in [r for r in rules if r.rule_type == DEDUP]:
+        # a rule of one provider, or one that others override, leaves the rest alone
+        mine, rest = df, None
         try:
-            kept, removed = apply_dedup_rule(df, rule, row_id)
+            if rule.applies_to != "TRUE":
+                mine, rest = df.filter(rule.applies_to), df.filter(f"NOT ({rule.applies_to})")
+            kept, removed = apply_dedup_rule(mine, rule, row_id)
         except (ValueError, AnalysisException) as error:
             metrics = metrics.unionByName(
                 metric_rows(df, [], [{"rule": rule, "metric_type": "DEDUPLICATION_ERROR",
@@ -445,12 +450,12 @@ def apply_dedup_rules(
             )
             continue
         if rule.rule_parameters.get("strategy", "KEEP_FIRST").upper() == "FUZZY":
-            counted = df.groupBy().count().select(F.col("count").alias("duplicate_count"))
+            counted = mine.groupBy().count().select(F.col("count").alias("duplicate_count"))
             counted = counted.unionByName(
                 kept.groupBy().agg((-F.count(F.lit(1))).alias("duplicate_count"))
             ).agg(F.sum("duplicate_count").alias("duplicate_count"))
         else:
-            counted = dedup.duplicate_count(df, dedup_keys(rule))
+            counted = dedup.duplicate_count(mine, dedup_keys(rule))
         info = {**_info(rule, table, "DUPLICATES_REMOVED"), "when_hit": "WARNING", "column_name": None}
         metrics = metrics.unionByName(
             metric_rows(counted, [(info, F.sum("duplicate_count"))], [])
@@ -468,5 +473,5 @@ def apply_dedup_rules(
                 ).alias("error_details"),
             )
             held = records if held is None else held.unionByName(records)
-        df = kept
+        df = kept if rest is None else kept.unionByName(rest)
     return df, held, metrics

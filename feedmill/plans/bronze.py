@@ -208,12 +208,12 @@ def archive_plan(completed: DataFrame, errors: DataFrame, as_of: Column, days: i
     )
 
 
-def reprocess_requests(errors: DataFrame, names: list[str] | None, as_of: Column, limit: int = 100) -> DataFrame:
-    """Requests for named error files that exist, or for the first ``limit`` of all."""
+def reprocess_requests(errors: DataFrame, names: list[str] | None, as_of: Column, limit: int | None = None) -> DataFrame:
+    """Requests for named error files that exist, or for all (the first ``limit``, if given)."""
     if names is not None:
         chosen = errors.filter(F.col("file_name").isin(names))
     else:
-        chosen = top(errors, [F.asc("file_name")], limit)
+        chosen = errors if limit is None else top(errors, [F.asc("file_name")], limit)
     return chosen.select(
         "file_name", F.lit("PENDING_REPROCESS").alias("status"), as_of.alias("requested_timestamp")
     )

@@ -311,11 +311,11 @@ def _close_log(store: Store, result: BatchResult, source: str, target: str, as_o
     store.append("silver_processing_log", row.coalesce(1))
 
 
-def process_all_pending(store: Store, target: str, as_of: datetime.datetime, max_batches: int = 100,
+def process_all_pending(store: Store, target: str, as_of: datetime.datetime, max_batches: int | None = None,
                         **options) -> list[BatchResult]:
-    """Batches until nothing is left or one fails."""
+    """Batches until nothing is left or one fails; ``max_batches`` stops earlier."""
     done = []
-    for _ in range(max_batches):
+    while max_batches is None or len(done) < max_batches:
         result = transform_batch(store, target, as_of, **options)
         if result.status == "FAILED":
             done.append(result)

@@ -35,13 +35,10 @@ def csv_cells(spark: SparkSession, landing: str, files: list[str]) -> DataFrame:
     """
     paths = [f"{landing.rstrip('/')}/{f}" for f in files]
     first = Window.partitionBy("file").orderBy("at")
-    lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("file"),
-        (F.length("value") - F.length(F.replace("value", F.lit(","), F.lit("")))).alias("commas"),
-        F.monotonically_increasing_id().alias("at"),
+    widest = (
+        spark.read.format("binaryFile").load(paths)
+        .select(header_width(F.decode("content", "UTF-8")).alias("width")).agg(F.max("width")).first()[0] or 1
     )
-    widths = lines.groupBy("file").agg(F.min_by("commas", "at").alias("commas"))
-    widest = (widths.agg(F.max("commas")).first()[0] or 0) + 1
     columns = [f"c{i}" for i in range(widest + 1)]
     rows = (
         spark.read.schema(", ".join(f"{c} string" for c in columns))
@@ -63,6 +60,14 @@ def csv_cells(spark: SparkSession, landing: str, files: list[str]) -> DataFrame:
     )
 
 
+def header_width(text: Column) -> Column:
+    """Cells of the first record of a CSV text; quoted cells may hold commas and line breaks."""
+    quoted = '"(?:[^"]++|"")*+"'
+    record = F.regexp_extract(text, rf'^(?:[^"\r\n]++|{quoted})*+', 0)
+    bare = F.regexp_replace(record, quoted, "")
+    return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+
+
 # -- Excel ------------------------------------------------------------------------
 
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
