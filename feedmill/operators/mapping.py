@@ -109,6 +109,12 @@ def gram_cosines(weights: DataFrame, sources: DataFrame, targets: DataFrame) ->
     return left.join(right, "gram").groupBy("s", "t").agg(F.sum(F.col("ws") * F.col("wt")).alias("tfidf"))
 
 
+def shared_pieces(s_names: DataFrame, t_names: DataFrame, size: int) -> DataFrame:
+    """(s, t) of names that share a piece of ``size`` letters."""
+    pieces = lambda names, c: _grams(names, c, [size], [c]).distinct()
+    return pieces(s_names, "s").join(pieces(t_names, "t"), "gram").select("s", "t").distinct()
+
+
 def score_pairs(sources: DataFrame, targets: DataFrame, min_confidence: float = 0.6) -> DataFrame:
     """Scores of (source_field, target_table, target_column) pairs at or above the minimum.
 
@@ -137,8 +143,7 @@ def score_pairs(sources: DataFrame, targets: DataFrame, min_confidence: float =
         s_names.join(t_names, F.col("s") == F.col("t")).withColumn("tfidf", F.lit(0.0))
     )
     if min_confidence <= UNPAIRED_SCORE:
-        letters = lambda names, c: _grams(names, c, [1], [c]).distinct()
-        met = letters(s_names, "s").join(letters(t_names, "t"), "gram").select("s", "t").distinct()
+        met = shared_pieces(s_names, t_names, 1)
         candidates = candidates.unionByName(met.withColumn("tfidf", F.lit(0.0)))
     pairs = candidates.groupBy("s", "t").agg(F.max("tfidf").alias("tfidf"))
     scored = pairs.select(

@@ -399,7 +399,7 @@ SINKS = {
             AND file_name IN ('view/0.csv', 'view/4.csv', 'click/1.csv', 'nowhere.csv')""")),
     "snk_12_reprocess_all": Query(
         lambda s, d: bronze.reprocess_requests(_error_listing(s, d), None, as_of()).select("file_name"),
-        sql("queue", "SELECT file_name FROM queue WHERE status = 'FAILED' ORDER BY file_name LIMIT 100")),
+        sql("queue", "SELECT file_name FROM queue WHERE status = 'FAILED'")),
     "snk_13_apply_reprocess": Query(
         _reprocess,
         sql("queue", """SELECT queue_id, CASE WHEN status = 'FAILED' AND queue_id % 2 = 0 THEN 'PENDING' ELSE status END AS status,

@@ -42,16 +42,22 @@ def fields_sql(body: str) -> str:
 
 
 def _pairs(s, d) -> DataFrame:
-    """Names of source and target that share their first word's first letters, normalised."""
+    """Source and target names, normalised, that are equal or share two neighbouring letters.
+
+    These are the pairs ``score_pairs`` considers at its default minimum.
+    """
     src = _sources(s, d).withColumn("s", normalise_name(F.col("source_field")))
     tgt = _targets(s, d).select("target_column").distinct().withColumn("t", normalise_name(F.col("target_column")))
-    head = lambda c: F.substring(c, 1, 1)
-    return src.join(tgt, head("s") == head("t")).select("source_field", "target_column", "s", "t")
+    s_names, t_names = src.select("s").distinct(), tgt.select("t").distinct()
+    met = M.shared_pieces(s_names, t_names, 2).unionByName(s_names.join(t_names, F.col("s") == F.col("t")))
+    return met.distinct().join(src, "s").join(tgt, "t").select("source_field", "target_column", "s", "t")
 
 
+_PIECES = "list_transform(range(1, length({0})), lambda i: substr({0}, i, 2))"
 _PAIRS_SQL = f"""SELECT source_field, target_column, s, t FROM
     (SELECT source_field, {_NORM.format('source_field')} AS s FROM src)
-    JOIN (SELECT DISTINCT target_column, {_NORM.format('target_column')} AS t FROM tgt) ON substr(s, 1, 1) = substr(t, 1, 1)"""
+    JOIN (SELECT DISTINCT target_column, {_NORM.format('target_column')} AS t FROM tgt)
+    ON s = t OR len(list_intersect({_PIECES.format("regexp_replace(s, ' +', ' ', 'g')")}, {_PIECES.format("regexp_replace(t, ' +', ' ', 'g')")})) > 0"""
 
 _TFIDF_SQL = f"""
 docs AS (SELECT name, count(*) AS copies FROM (

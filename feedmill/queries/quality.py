@@ -21,6 +21,13 @@ QUALITY_RULES = [
     ("Q7", "DATA_QUALITY", "allowed", None, "<= 200000", None, 70, "QUARANTINE"),
 ]
 
+# texts that do not parse, that are whole conditions, or that start like an operator
+ODD_RULES = [
+    ("X1", "DATA_QUALITY", "billed", None, ">= (0", None, 80, "REJECT"),
+    ("X2", "DATA_QUALITY", "status", None, "INSTR(status, 'F') = 0", None, 81, "LOG"),
+    ("X3", "DATA_QUALITY", "billed", None, "NOT (billed < 0)", None, 82, "LOG"),
+]
+
 _VERDICT = """v AS (SELECT *, first_name IS NULL AS v1, NOT regexp_full_match(provider_npi, '[0-9]{10}') AS v2, billed < 0 AS v3,
     status NOT IN ('F', 'O') AS v4, paid_date IS NULL AS v5, coalesce(allowed > 200000, false) AS v7 FROM claims),
 a AS (SELECT *, CASE WHEN v1 THEN 1 WHEN v2 THEN 2 WHEN v3 THEN 3 WHEN v7 THEN 7 END AS gone FROM v)"""
@@ -80,6 +87,11 @@ PROVIDER_RULES = [
     ("S1", "DATA_QUALITY", "billed", "F", ">= 0", None, 10, "REJECT"),
 ]
 
+PROVIDER_DEDUP_RULES = [
+    ("DF", "DEDUPLICATION", None, "F", "member_id", '{"strategy": "KEEP_FIRST"}', 10, "LOG"),
+    ("DG", "DEDUPLICATION", None, None, "claim_num, status", '{"strategy": "KEEP_LAST"}', 20, "LOG"),
+]
+
 BUSINESS_RULES = [
     ("B1", "BUSINESS_LOGIC", "patient_pays", None, "COALESCE(billed, 0) - COALESCE(allowed, 0)", None, 10, "LOG"),
     ("B2", "BUSINESS_LOGIC", "pays_twice", None, "patient_pays * 2", None, 20, "LOG"),
@@ -150,6 +162,14 @@ RULES = {
             "rule_id", "column_name", "pass_fail",
             T.claims(s, d).agg(F.count(F.lit(1)).alias("rows")).scalar().alias("rows")),
         sql("claims", "SELECT 'Q6' AS rule_id, 'no_such_column' AS column_name, 'FAIL' AS pass_fail, count(*) AS rows FROM claims")),
+    "rule_06_malformed_rules": Query(
+        lambda s, d: E.apply_quality_rules(T.claims(s, d), rule_list(s, ODD_RULES), "CLAIMS").metrics().select(
+            "rule_id", "metric_type", "metric_value", "pass_fail"),
+        sql("claims", """SELECT 'X1' AS rule_id, 'RULE_ERROR' AS metric_type, CAST(0 AS DOUBLE) AS metric_value, 'FAIL' AS pass_fail
+            UNION ALL SELECT 'X2', 'RULE_VIOLATIONS', count(CASE WHEN status LIKE '%F%' THEN 1 END),
+              CASE WHEN count(CASE WHEN status LIKE '%F%' THEN 1 END) = 0 THEN 'PASS' ELSE 'FAIL' END FROM claims
+            UNION ALL SELECT 'X3', 'RULE_VIOLATIONS', count(CASE WHEN billed < 0 THEN 1 END),
+              CASE WHEN count(CASE WHEN billed < 0 THEN 1 END) = 0 THEN 'PASS' ELSE 'FAIL' END FROM claims""")),
     "rule_07_business": Query(
         lambda s, d: E.apply_business_rules(T.claims(s, d), rule_list(s, BUSINESS_RULES), "CLAIMS").rows.select(
             "raw_id", F.round("patient_pays", 2).alias("patient_pays"), F.round("pays_twice", 2).alias("pays_twice")),
@@ -223,6 +243,13 @@ RULES = {
         lambda s, d: _by_provider(s, d),
         sql("claims", """SELECT raw_id, status AS tpa FROM claims
             WHERE CASE WHEN status = 'F' THEN billed >= 0 ELSE billed >= 100000 END""")),
+    "rule_16_dedup_by_provider": Query(
+        lambda s, d: E.apply_dedup_rules(
+            T.claims(s, d).withColumn("tpa", F.col("status")), rule_list(s, PROVIDER_DEDUP_RULES), "CLAIMS",
+        )[0].select("raw_id", "tpa"),
+        sql("claims", """SELECT min(raw_id) AS raw_id, status AS tpa FROM claims WHERE status = 'F' GROUP BY member_id, status
+            UNION ALL SELECT max(raw_id), status FROM claims WHERE status <> 'F' GROUP BY claim_num, status
+            UNION ALL SELECT raw_id, status FROM claims WHERE status IS NULL""")),
     "rule_16_effective_rules": Query(
         lambda s, d: E.effective_rules(T.rules(s, d), "tpa_1").select("rule_id"),
         sql("rules", """SELECT rule_id FROM rules r WHERE active AND (tpa = 'tpa_1' OR (tpa IS NULL AND NOT EXISTS (

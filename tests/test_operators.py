@@ -282,3 +282,22 @@ def test_large_reference_equals_small_one(spark, skewed, monkeypatch):
 def test_metadata_limit(spark):
     with pytest.raises(joins.MetadataTooLarge):
         joins.collect_metadata(spark.range(20), 10)
+
+
+def test_header_width_of_quoted_headers(spark):
+    from feedmill.sources.tabular import header_width
+
+    texts = [("a,b,c\n1,2,3", 3), ('"x\ny","p,q",z,w\n1,2,3,4', 4), ("", 1), ("one", 1), ('"a ""quoted"", name",b\r\n1,2', 2), ("a,b\r\n", 2)]
+    got = spark.createDataFrame(texts, "text string, want int").select(header_width(F.col("text")).alias("got"), "want").collect()
+    assert [r["got"] for r in got] == [r["want"] for r in got]
+
+
+def test_predicates_match_whole_operators():
+    from feedmill.functions.dialect import predicate
+
+    assert predicate("x", "INSTR(x, 'a') > 0") == "INSTR(x, 'a') > 0"
+    assert predicate("x", "ISNULL(x)") == "ISNULL(x)"
+    assert predicate("x", "NOT (x > 1)") == "NOT (x > 1)"
+    assert predicate("x", "NOT IN (1, 2)") == "x NOT IN (1, 2)"
+    assert predicate("x", "IS NOT NULL") == "x IS NOT NULL"
+    assert predicate("x", "BETWEEN 1 AND 2") == "x BETWEEN 1 AND 2"
