@@ -126,9 +126,10 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     folded = stage(
         members.groupBy("fingerprint", "norm", "doc").agg(F.count(F.lit(1)).alias("times")), "repeated-texts"
     )
-    groups = folded.groupBy("fingerprint", "norm").agg(
+    # written, so that the join below deals both sides anew and can split a text with very many copies
+    groups = stage(folded.groupBy("fingerprint", "norm").agg(
         F.min("doc").alias("keep_id"), F.sum("times").alias("group_size")
-    ).select(F.col("fingerprint").alias("f"), F.col("norm").alias("n"), "keep_id", "group_size")
+    ).select(F.col("fingerprint").alias("f"), F.col("norm").alias("n"), "keep_id", "group_size"), "text-groups")
     judged = folded.join(groups, (F.col("fingerprint") == F.col("f")) & (F.col("norm") == F.col("n"))).select(
         F.col("doc").alias("doc_id"), "keep_id", "group_size", F.col("doc").eqNullSafe(F.col("keep_id")).alias("first"),
         sha, F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))).alias("copy"),
