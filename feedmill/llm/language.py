@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedmill.llm.words import id_and_text, slices, utf8
+from feedmill.session import stage
 
 LENGTHS = (1, 2, 3)
 MAX_GRAMS = 30_000
@@ -131,9 +132,10 @@ def training_sample(docs: DataFrame, rows: int = SAMPLE_ROWS) -> tuple[list[str]
         F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
         F.md5(F.col("doc_id").cast("string")).alias("order"),
     ).where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
+    # sizes are written, so that the plan knows how small they are and need not deal rows by language;
     # of a language with n rows only those whose hash lies in the lowest 4 * rows / n are ranked,
     # so that no language fills a task; that many are left but for a vanishing chance
-    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    counts = stage(usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "language-sizes")
     share = F.conv(F.substring("order", 1, 8), 16, 10).cast("double") / 2.0 ** 32
     usable = usable.join(counts, "lang").where(share * F.col("n") <= 4.0 * rows)
     first = Window.partitionBy("lang").orderBy("order", "doc_id")
