@@ -8,14 +8,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedmill import model
 from feedmill.functions import paths
 from feedmill.operators.limits import top
 from feedmill.operators.merge import delete_where, merge_rows, rows_to_insert, update_where
-from feedmill.plans.store import Store
-from feedmill.session import stage
+from feedmill.plans.store import Store, conform
+from feedmill.session import drop_staged, stage
 from feedmill.sources import listing as L
 from feedmill.sources import tabular
 
+QUEUE = "file_processing_queue"
 FILES_PER_RUN = 10
 MAX_RETRIES = 3
 # Up to this many file names are pushed to the scan of the rows already loaded.
@@ -23,17 +25,19 @@ PUSHED_FILES = 1000
 
 
 def discover_files(store: Store, landing: str, as_of: Column) -> int:
-    """Queue files of the landing area that are new; returns how many."""
-    queue = store.snapshot("file_processing_queue")
+    """Queue files of the landing area that are new or may be tried again; returns how many."""
+    queue = store.snapshot(QUEUE)
     found = L.new_files(L.admissible(L.list_files(store.spark, landing)), queue)
+    found = found.join(given_up(queue).select("file_name"), "file_name", "left_anti")
     fresh = stage(found.filter("file_type IS NOT NULL AND rejection_reason IS NULL"), "discovered")
     count = fresh.count()
     if count:
         store.merge(
-            "file_processing_queue", numbered(fresh, queue, as_of), ["file_name"],
+            QUEUE, numbered(fresh, queue, as_of), ["file_name"],
             update=["file_type", "status", "discovered_timestamp"],
             set_values={"process_result": F.lit(None), "error_message": F.lit(None)},
         )
+    drop_staged(fresh)
     return count
 
 
@@ -125,6 +129,7 @@ def load_files(store: Store, landing: str, files: list[tuple[str, str]], as_of:
     fresh = rows_to_insert(rows, known, ["file_name", "file_row_number"])
     if total:
         store.append("raw_data", fresh, partition_by=["tpa"])
+    drop_staged(cells)
     inserted = store.read("raw_data").filter(
         F.col("tpa").isin(tpas) & F.col("raw_id").between(base + 1, base + total)
     )
@@ -177,17 +182,41 @@ def retryable(queue: DataFrame, max_retries: int = MAX_RETRIES) -> DataFrame:
     return queue.filter((F.col("status") == "FAILED") & (F.coalesce("retry_count", F.lit(0)) < max_retries))
 
 
+def given_up(queue: DataFrame, max_retries: int = MAX_RETRIES) -> DataFrame:
+    """Files that failed as often as they may."""
+    return queue.filter((F.col("status") == "FAILED") & (F.coalesce("retry_count", F.lit(0)) >= max_retries))
+
+
 def process_queued_files(store: Store, landing: str, as_of: Column, limit: int = FILES_PER_RUN) -> str:
-    """Load the oldest pending files and write their states."""
-    queue = store.snapshot("file_processing_queue")
+    """Load the oldest pending files and write their states.
+
+    Files are PROCESSING while they load. One writer is assumed, so a file found
+    in that state belongs to a run that died; it is pending again.
+    """
+    queue = store.snapshot(QUEUE)
+    queue = update_where(queue, F.col("status") == "PROCESSING", {"status": F.lit("PENDING")})
     picked = [(r.file_name, r.file_type) for r in pick_pending(queue, limit).collect()]
     if not picked:
         return "Processed 0 files"
+    chosen = store.spark.createDataFrame([(f,) for f, _ in picked], "file_name string")
+    store.replace(QUEUE, merge_rows(
+        queue, chosen, ["file_name"], update=[],
+        set_values={"status": F.lit("PROCESSING"), "processed_timestamp": as_of}))
     load = load_files(store, landing, picked, as_of)
-    store.replace("file_processing_queue", queue_after(queue, load.results, as_of))
+    store.replace(QUEUE, queue_after(store.snapshot(QUEUE), load.results, as_of))
+    store.purge(QUEUE)
     return f"Processed {len(picked)} files"
 
 
+def record_results(store: Store, results: DataFrame, as_of: Column) -> None:
+    """Queue rows with outcome for files (file_name, file_type, result) that came past the queue."""
+    queue = store.snapshot(QUEUE)
+    unknown = results.join(queue.select("file_name"), "file_name", "left_anti")
+    queue = queue.unionByName(conform(numbered(unknown, queue, as_of), model.QUEUE))
+    store.replace(QUEUE, queue_after(queue, results, as_of))
+    store.purge(QUEUE)
+
+
 # -- moves and reprocessing -----------------------------------------------------------
 
 def move_plan(queue: DataFrame, status: str, limit: int = FILES_PER_RUN) -> DataFrame:

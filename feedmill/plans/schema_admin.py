@@ -9,7 +9,7 @@ from feedmill import model
 from feedmill.functions import dialect
 from feedmill.operators.joins import collect_metadata
 from feedmill.operators.merge import delete_where, diff_rows, rows_to_insert, update_where
-from feedmill.plans.store import BUCKET, Store
+from feedmill.plans.store import BUCKET, ROW, Store
 from feedmill.session import stage
 
 SCHEMA_KEY = ["table_name", "column_name", "tpa"]
@@ -172,7 +172,7 @@ def _rewrite(store: Store, table: str, rows: DataFrame) -> None:
     """Replace a silver table by ``rows``, which may read it."""
     kept = stage(rows, "rewrite")
     store.drop(table)
-    columns = [f for f in kept.schema.fields if f.name != BUCKET]
+    columns = [f for f in kept.schema.fields if f.name not in (ROW, BUCKET)]
     store.create(table, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns))
     kept.write.mode("append").partitionBy(BUCKET).parquet(store.path(table))
 
@@ -236,7 +236,7 @@ def sync_table(store: Store, table: str, reset: bool = False) -> str:
              else F.lit(None).cast(f.dataType)).alias(f.name)
             for f in wanted.fields
         ],
-        BUCKET,
+        ROW, BUCKET,
     )
     _rewrite(store, table, rows)
     return f"Synchronised table: {table.upper()}"

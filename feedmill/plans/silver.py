@@ -18,12 +18,14 @@ from feedmill.operators import dedup, rules as rule_ops
 from feedmill.operators.joins import collect_metadata
 from feedmill.operators.limits import batch_bounds
 from feedmill.operators.merge import delete_where, merge_rows
-from feedmill.plans.store import Store
-from feedmill.session import stage
+from feedmill.plans.store import ROW, Store
+from feedmill.session import drop_staged, stage
 
 # Columns of a raw row that a mapping may name directly.
 PROVENANCE = ["file_name", "file_row_number", "load_timestamp", "stage_name", "file_size",
               "file_last_modified", "tpa", "raw_id"]
+LOG = "silver_processing_log"
+BATCH_RETRIES = 2
 
 
 @dataclass
@@ -163,7 +165,20 @@ def last_processed(store: Store, watermark_id: str) -> tuple[int, int]:
 
 def latest_log(log: DataFrame) -> DataFrame:
     """Newest row per batch of the append-only log."""
-    return dedup.keep_one(log, ["batch_id"], [F.desc_nulls_last("end_timestamp")])
+    return dedup.keep_one(
+        log, ["batch_id"], [F.desc_nulls_last("end_timestamp"), F.desc(F.col("status") == "SUCCESS")])
+
+
+def unfinished_batch(store: Store, mark: str) -> tuple[str | None, int]:
+    """(id, tries so far) of a batch of this mark that failed or whose run died, if there is one."""
+    opened = store.read(LOG).filter(F.get_json_object("processing_metadata", "$.watermark") == mark)
+    left = (
+        opened.groupBy("batch_id")
+        .agg(F.count_if(F.col("status") == "PROCESSING").alias("tries"),
+             F.count_if(F.col("status").isin("SUCCESS", "QUARANTINED")).alias("done"))
+        .filter("done = 0").orderBy(F.desc("tries"), "batch_id").first()
+    )
+    return (left.batch_id, left.tries) if left else (None, 0)
 
 
 def new_batch_id(spark: SparkSession, as_of: datetime.datetime) -> str:
@@ -182,6 +197,7 @@ def transform_batch(
     tpa: str | None = None,
     strict: bool = False,
     references: dict[str, DataFrame] | None = None,
+    max_retries: int | None = BATCH_RETRIES,
 ) -> BatchResult:
     """Move the next raw rows into a typed table.
 
@@ -189,13 +205,20 @@ def transform_batch(
     applies quality, business, standardisation and dedup rules, upserts on the
     first declared column, and records metrics, quarantine, mark and log.
     Intermediate rows are written twice to the shared folder: after the quality
-    checks and before the upsert.
+    checks and before the upsert; both copies go when the batch ends.
+
+    A batch that failed, or whose run died, keeps its id: the next call replaces
+    its metrics and quarantine records, and the upsert repeats without effect, so
+    a rerun leaves what one clean run leaves. After ``max_retries`` failed retries
+    the raw rows go to quarantine and the mark moves on (None: never).
     """
     spark = store.spark
-    batch_id = new_batch_id(spark, as_of)
     now = ntz(as_of)
     mark = f"{source}_TO_{target.upper()}" + (f"_{tpa}" if tpa else "")
+    open_id, tries = unfinished_batch(store, mark)
+    batch_id = open_id or new_batch_id(spark, as_of)
     result = BatchResult(batch_id, "SUCCESS")
+    bounds, staged = None, []
     try:
         declared = target_columns(store, target)
         if not declared:
@@ -214,14 +237,17 @@ def transform_batch(
         bounds = batch_bounds(rows, "raw_id", after, batch_size)
         if bounds is None:
             result.message = "No new records to process"
-            _close_log(store, result, source, target, as_of)
+            _write_log(store, result, source, target, as_of, mark)
             return result
         rows = rows.filter(F.col("raw_id").between(*bounds))
+        _write_log(store, BatchResult(batch_id, "PROCESSING"), source, target, as_of, mark)
+        _forget(store, batch_id)
         projected = project(rows, mappings, types)
 
         rules = rule_ops.active_rules(store.snapshot("transformation_rules"), target) if apply_rules else []
         checked = rule_ops.apply_quality_rules(projected, rules, target.upper(), references)
         checked.rows = stage(checked.rows, "checked")
+        staged.append(checked.rows)
         result.read = checked.rows.count()
         metrics = [checked.metrics()]
         if strict and checked.rows.filter("_removed_at IS NOT NULL").limit(1).count():
@@ -237,6 +263,7 @@ def transform_batch(
         metrics.append(dedup_metrics)
         keyed = dedup.keep_last(kept.filter(F.col(key).isNotNull()), [key])
         final = stage(keyed.unionByName(kept.filter(F.col(key).isNull())), "final")
+        staged.append(final)
         result.processed = final.count()
         result.rejected = result.read - result.processed
 
@@ -253,22 +280,50 @@ def transform_batch(
         }
         touched = {"UPDATED_AT": now} if "UPDATED_AT" in types else {}
         result.inserted, result.updated = store.upsert(
-            target, final.select(*columns), key, [c for c in columns if c != key], touched, defaults
+            target, final.select(*columns, F.col("raw_id").alias(ROW)), key, [c for c in columns if c != key], touched, defaults
         )
         result.rules_applied = len(rules)
         if incremental:
-            state = spark.createDataFrame(
-                [(mark, source, target.upper(), bounds[1], as_of, so_far + result.processed, batch_id, as_of)],
-                model.WATERMARKS,
-            )
-            store.merge("processing_watermarks", state, ["watermark_id"])
+            _set_mark(store, mark, source, target, bounds[1], so_far + result.processed, batch_id, as_of)
         result.message = f"Processed {result.processed} records"
     except Exception as error:
-        result.status, result.message = "FAILED", str(error).splitlines()[0] if str(error) else repr(error)
-    _close_log(store, result, source, target, as_of)
+        text = str(error).strip()
+        result.status, result.message = "FAILED", text.splitlines()[0] if text else repr(error)
+        if incremental and bounds is not None and max_retries is not None and tries >= max_retries:
+            _give_up(store, rows, result, source, target, now)
+            _set_mark(store, mark, source, target, bounds[1], so_far, batch_id, as_of)
+    finally:
+        drop_staged(*staged)
+    _write_log(store, result, source, target, as_of, mark)
     return result
 
 
+def _forget(store: Store, batch_id: str) -> None:
+    """Remove what an earlier try of this batch recorded."""
+    for table in ("quarantine_records", "data_quality_metrics"):
+        store.drop_partition(table, "batch_id", batch_id)
+
+
+def _set_mark(store: Store, mark: str, source: str, target: str, last: int, records: int, batch_id: str,
+              as_of: datetime.datetime) -> None:
+    state = store.spark.createDataFrame(
+        [(mark, source, target.upper(), last, as_of, records, batch_id, as_of)], model.WATERMARKS)
+    store.merge("processing_watermarks", state, ["watermark_id"])
+
+
+def _give_up(store: Store, raw: DataFrame, result: BatchResult, source: str, target: str, now: Column) -> None:
+    """All raw rows of a batch that fails again and again, as quarantine records."""
+    _forget(store, result.batch_id)
+    held = raw.select(
+        F.col("raw_data").alias("source_record"), F.array(F.lit("BATCH_FAILED")).alias("failed_rules"),
+        F.to_variant_object(F.struct(F.col("raw_id"), F.lit(result.message).alias("error"))).alias("error_details"),
+    )
+    _write_quarantine(store, held, result.batch_id, source, target, now)
+    result.status = "QUARANTINED"
+    result.read = result.rejected = raw.count()
+    result.processed = 0
+
+
 def _default(text: str, now: Column) -> Column:
     if text.upper().startswith("CURRENT_TIMESTAMP"):
         return now
@@ -284,6 +339,7 @@ def _write_quarantine(store: Store, records: DataFrame, batch_id: str, source: s
             "source_record", "failed_rules", "error_details",
             now.alias("quarantine_timestamp"), F.lit(False).alias("resolved"),
         ),
+        partition_by=["batch_id"],
     )
 
 
@@ -293,22 +349,26 @@ def _write_metrics(store: Store, metrics: DataFrame, batch_id: str, now: Column)
         metrics.select(
             F.expr("uuid()").alias("metric_id"), F.lit(batch_id).alias("batch_id"),
             now.alias("measurement_timestamp"), "*",
-        ).coalesce(1),
+        ),
+        partition_by=["batch_id"],
     )
 
 
-def _close_log(store: Store, result: BatchResult, source: str, target: str, as_of: datetime.datetime) -> None:
+def _write_log(store: Store, result: BatchResult, source: str, target: str, as_of: datetime.datetime,
+               mark: str | None = None) -> None:
+    """Append the state of a batch; a PROCESSING row has no end."""
+    ended = None if result.status == "PROCESSING" else as_of
     row = store.spark.createDataFrame(
-        [(result.batch_id, source, target.upper(), as_of, as_of, result.status, result.read, result.processed,
+        [(result.batch_id, source, target.upper(), as_of, ended, result.status, result.read, result.processed,
           result.inserted, result.updated, result.rejected, result.rules_applied,
-          result.message if result.status == "FAILED" else None,
-          json.dumps({"message": result.message}))],
+          result.message if result.status in ("FAILED", "QUARANTINED") else None,
+          json.dumps({"message": result.message, "watermark": mark}))],
         "batch_id string, source_table string, target_table string, start_timestamp timestamp_ntz, "
         "end_timestamp timestamp_ntz, status string, records_read bigint, records_processed bigint, "
         "records_inserted bigint, records_updated bigint, records_rejected bigint, rules_applied int, "
         "error_message string, processing_metadata string",
     )
-    store.append("silver_processing_log", row.coalesce(1))
+    store.append(LOG, row.coalesce(1))
 
 
 def process_all_pending(store: Store, target: str, as_of: datetime.datetime, max_batches: int | None = None,
@@ -332,14 +392,14 @@ def transform_all_targets(store: Store, as_of: datetime.datetime, **options) ->
         r[0] for r in collect_metadata(store.snapshot("target_schemas").filter("active").select("table_name").distinct())
     )
     results = [transform_batch(store, t, as_of, **options) for t in targets]
-    failed = [r for r in results if r.status == "FAILED"]
+    failed = [r for r in results if r.status != "SUCCESS"]
     status = "SUCCESS" if not failed else ("FAILED" if len(failed) == len(results) else "PARTIAL_SUCCESS")
     total = BatchResult(
         new_batch_id(store.spark, as_of), status, sum(r.read for r in results), sum(r.processed for r in results),
         sum(r.inserted for r in results), sum(r.updated for r in results), sum(r.rejected for r in results),
         message=f"{len(results) - len(failed)} of {len(results)} targets transformed",
     )
-    _close_log(store, total, "RAW_DATA_TABLE", "ALL", as_of)
+    _write_log(store, total, "RAW_DATA_TABLE", "ALL", as_of)
     return total
 
 

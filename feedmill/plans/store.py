@@ -19,6 +19,8 @@ from feedmill.operators.merge import merge_rows
 
 BUCKET = "key_bucket"
 NULL_BUCKET = -1
+# Raw id of a row without a key; a replayed batch finds its keyless rows by it.
+ROW = "keyless_row"
 
 
 @dataclass
@@ -79,6 +81,11 @@ class Store:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(self.path(table))
 
+    def drop_partition(self, table: str, column: str, value: str) -> None:
+        """Delete what was appended to one partition folder of a table."""
+        fs, target = self._folder(f"{self.path(table)}/{column}={value}")
+        fs.delete(target, True)
+
     def read(self, table: str) -> DataFrame:
         """An append-only or bucketed table; a known table without data is empty."""
         if not self.exists(table):
@@ -114,7 +121,7 @@ class Store:
     # -- bucketed silver tables ----------------------------------------------------
 
     def create(self, table: str, schema: str) -> None:
-        empty = self.spark.createDataFrame([], f"{schema}, {BUCKET} int")
+        empty = self.spark.createDataFrame([], f"{schema}, {ROW} bigint, {BUCKET} int")
         empty.write.mode("errorifexists").parquet(f"{self.root}/_schema/{table.lower()}")
 
     def is_created(self, table: str) -> bool:
@@ -144,16 +151,18 @@ class Store:
         """Merge ``batch`` (unique on its non-null key); returns (inserted, updated).
 
         Only buckets holding a key of the batch are read and rewritten, by
-        dynamic partition overwrite. Rows without a key match nothing and are
-        appended.
+        dynamic partition overwrite. Rows without a key are appended, unless the
+        batch names their raw ids in ``keyless_row`` and the table holds that id.
         """
         target = self.silver(table)
         batch = batch.withColumn(BUCKET, self.bucket_of(key))
+        if ROW not in batch.columns:
+            batch = batch.withColumn(ROW, F.lit(None).cast("bigint"))
         keyless = batch.filter(F.col(key).isNull())
-        keyed = batch.filter(F.col(key).isNotNull())
+        keyed = batch.filter(F.col(key).isNotNull()).withColumn(ROW, F.lit(None).cast("bigint"))
         touched = [r[0] for r in keyed.select(BUCKET).distinct().collect()]
         total = batch.count()
-        updated = 0
+        updated = replayed = 0
         if touched:
             old = target.filter(F.col(BUCKET).isin(touched))
             updated = keyed.join(old.select(BUCKET, key), [BUCKET, key], "left_semi").count()
@@ -163,10 +172,15 @@ class Store:
                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                 .partitionBy(BUCKET).parquet(self.path(table))
             )
-        if total and keyless.limit(1).count():
-            rows = merge_rows(target.limit(0), keyless.withColumn("_n", F.lit(1)), [key], [], {}, insert_values)
+        alone = keyless.agg(F.count(F.lit(1)).alias("n"), F.min(ROW).alias("low"), F.max(ROW).alias("high")).first()
+        if alone.n:
+            if alone.low is not None:
+                held = target.filter((F.col(BUCKET) == NULL_BUCKET) & F.col(ROW).between(alone.low, alone.high)).select(ROW)
+                replayed = keyless.join(held, ROW, "left_semi").count()
+                keyless = keyless.join(held, ROW, "left_anti")
+            rows = merge_rows(target.limit(0), keyless, [key], [], {}, insert_values)
             rows.withColumn(BUCKET, F.lit(NULL_BUCKET)).write.mode("append").partitionBy(BUCKET).parquet(self.path(table))
-        return total - updated, updated
+        return total - updated - replayed, updated
 
 
 def conform(rows: DataFrame, schema: str) -> DataFrame:

@@ -674,7 +674,7 @@ def _batch(s, d):
 def _batch_state(s, d):
     store = _batch(s, d)
     metrics = store.read("data_quality_metrics").select(F.concat("metric_type", F.lit("/"), "rule_id").alias("what"), F.col("metric_value").cast("bigint").alias("n"))
-    log = store.read("silver_processing_log")
+    log = silver.latest_log(store.read(silver.LOG))
     counts = log.select(F.explode(F.create_map(
         F.lit("read"), "records_read", F.lit("processed"), "records_processed", F.lit("inserted"), "records_inserted",
         F.lit("updated"), "records_updated", F.lit("rejected"), "records_rejected")).alias("what", "n"))
@@ -701,7 +701,7 @@ def _all_targets(s, d):
         "table_name string, column_name string, tpa string, data_type string, nullable boolean, default_value string, description string"),
         as_of())
     silver.transform_all_targets(store, NOW, batch_size=None)
-    return store.read("silver_processing_log").select("target_table", "status", "records_read")
+    return silver.latest_log(store.read(silver.LOG)).select("target_table", "status", "records_read")
 
 
 def _loaded(s, d, stream: bool) -> DataFrame:

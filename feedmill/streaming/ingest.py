@@ -40,17 +40,26 @@ def landing_stream(spark: SparkSession, landing: str, files_per_trigger: int = F
 
 def stream_files_to_raw(store: Store, landing: str, checkpoint: str, as_of: Callable[[], datetime.datetime],
                         files_per_trigger: int = FILES_PER_TRIGGER, once: bool = True) -> StreamingQuery:
-    """Load arriving files. A repeated micro-batch adds nothing: rows are keyed by file and row."""
+    """Load arriving files and queue each with its outcome, refused files with the reason.
+
+    A repeated micro-batch adds nothing: rows are keyed by file and row. A file
+    that failed is left to ``bronze.discover_files``, which retries it.
+    """
 
     def load(batch: DataFrame, _: int) -> None:
         name = F.col("file_name")
         named = batch.select(
             "file_name", paths.file_type(name).alias("kind"),
             paths.rejection_reason(name, F.col("size")).alias("reason"),
-        ).filter("kind IS NOT NULL AND reason IS NULL")
-        files = [(r.file_name, r.kind) for r in named.collect()]  # at most files_per_trigger
+        ).collect()  # at most files_per_trigger
+        files = [(r.file_name, r.kind) for r in named if r.reason is None]
+        refused = [(r.file_name, r.kind, f"FAILURE: {r.reason}") for r in named if r.reason is not None]
+        results = store.spark.createDataFrame(refused, "file_name string, file_type string, result string")
         if files:
-            bronze.load_files(store, landing, files, ntz(as_of()))
+            loaded = bronze.load_files(store, landing, files, ntz(as_of())).results
+            results = results.unionByName(loaded.select("file_name", "file_type", "result"))
+        if named:
+            bronze.record_results(store, results, ntz(as_of()))
 
     writer = landing_stream(store.spark, landing, files_per_trigger).writeStream.foreachBatch(load)
     writer = writer.option("checkpointLocation", checkpoint)

@@ -102,6 +102,39 @@ def test_stream_loads_each_file_once(spark, landing, tmp_path):
     for _ in range(2):
         ingest.stream_files_to_raw(store, landing, str(tmp_path / "cp"), lambda: DAY, 3).awaitTermination()
     assert store.read("raw_data").count() == 10
+    # The queue tells the outcome of every file, refused ones included.
+    queue = {r.file_name: r for r in store.snapshot("file_processing_queue").collect()}
+    assert len({r.queue_id for r in queue.values()}) == len(queue) == 8
+    assert queue["notes.txt"].error_message == "FAILURE: Invalid file type: txt"
+    assert queue["provider_a/claims one.csv"].status == "SUCCESS"
+    assert queue["provider_c/broken.xlsx"].retry_count == 1
+    # Failed files are retried by the queue, refused ones are not.
+    assert bronze.discover_files(store, landing, now()) == 3
+
+
+def test_failed_files_are_given_up(spark, landing, tmp_path):
+    store = Store(spark, str(tmp_path / "lake"), buckets=4)
+    found = []
+    for _ in range(5):
+        found.append(bronze.discover_files(store, landing, now()))
+        drain(store, landing, 100)
+    assert found == [7, 3, 3, 0, 0]
+    failed = store.snapshot("file_processing_queue").filter("status = 'FAILED'").collect()
+    assert sorted(r.retry_count for r in failed) == [3, 3, 3]
+
+
+def test_files_of_a_dead_run_are_loaded(spark, landing, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path / "lake"), buckets=4)
+    bronze.discover_files(store, landing, now())
+    with monkeypatch.context() as broken:
+        broken.setattr(bronze, "queue_after", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            bronze.process_queued_files(store, landing, now(), 100)
+    running = store.snapshot("file_processing_queue").filter("status = 'PROCESSING'")
+    assert running.count() == 7 and running.first().processed_timestamp == DAY
+    drain(store, landing, 100)
+    assert store.snapshot("file_processing_queue").filter("status = 'SUCCESS'").count() == 4
+    assert store.read("raw_data").count() == 10
 
 
 def silver_setup(store):
@@ -181,11 +214,11 @@ def test_raw_to_silver(spark, landing, tmp_path):
     mark = store.snapshot("processing_watermarks").first()
     assert mark.last_processed_id == 10 and mark.records_processed == 7
     assert silver.transform_batch(store, "CLAIMS", DAY).read == 0
-    # Running everything again only updates.
+    # Running everything again only updates, rows without a key included.
     silver.reset_watermark(store, "CLAIMS")
     again = silver.transform_batch(store, "CLAIMS", DAY + datetime.timedelta(days=1))
     assert (again.read, again.updated) == (10, 6)
-    assert store.silver("CLAIMS").filter("CLAIM_NUM IS NOT NULL").count() == 6
+    assert again.inserted == 0 and store.silver("CLAIMS").count() == 7
     assert store.silver("CLAIMS").filter("CLAIM_NUM = 'A0000001'").first().UPDATED_AT.day == 2
     log = store.read("silver_processing_log")
     assert log.filter("status = 'SUCCESS'").count() == 6
@@ -193,6 +226,60 @@ def test_raw_to_silver(spark, landing, tmp_path):
     assert total.status == "SUCCESS"
 
 
+def recorded(store):
+    """What a batch leaves behind, without ids made at random."""
+    metrics = store.read("data_quality_metrics").select("metric_type", "rule_id", "metric_value", "batch_id").collect()
+    held = store.read("quarantine_records").select("failed_rules", "batch_id").collect()
+    rows = store.silver("CLAIMS").select("CLAIM_NUM", "FIRST_NAME", "keyless_row").collect()
+    return [sorted(map(str, part)) for part in (metrics, held, rows)]
+
+
+@pytest.fixture
+def loaded(spark, landing, tmp_path):
+    store = Store(spark, str(tmp_path / "lake"), buckets=4)
+    bronze.discover_files(store, landing, now())
+    drain(store, landing, 100)
+    silver_setup(store)
+    return store
+
+
+def fails_before_mark(monkeypatch):
+    def fail(*_):
+        raise RuntimeError("\nlost the mark")
+    monkeypatch.setattr(silver, "_set_mark", fail)
+
+
+def test_rerun_after_failure_leaves_one_run(loaded, monkeypatch):
+    with monkeypatch.context() as broken:
+        fails_before_mark(broken)
+        first = silver.transform_batch(loaded, "CLAIMS", DAY)
+        assert (first.status, first.message) == ("FAILED", "lost the mark")
+    before = recorded(loaded)
+    again = silver.transform_batch(loaded, "CLAIMS", DAY + datetime.timedelta(days=1))
+    assert (again.status, again.batch_id) == ("SUCCESS", first.batch_id)
+    assert (again.inserted, again.updated) == (0, 6)
+    assert recorded(loaded) == before and len(before[2]) == 7
+    log = silver.latest_log(loaded.read("silver_processing_log")).collect()
+    assert [(r.batch_id, r.status) for r in log] == [(first.batch_id, "SUCCESS")]
+    # The same rows after a reset are another batch; rows without a key stay single.
+    silver.reset_watermark(loaded, "CLAIMS")
+    third = silver.transform_batch(loaded, "CLAIMS", DAY)
+    assert third.batch_id != first.batch_id and loaded.silver("CLAIMS").count() == 7
+    assert loaded.read("quarantine_records").count() == 2
+
+
+def test_batch_that_never_works_goes_to_quarantine(loaded, monkeypatch):
+    with monkeypatch.context() as broken:
+        broken.setattr(Store, "upsert", lambda *_: 1 / 0)
+        runs = [silver.transform_batch(loaded, "CLAIMS", DAY, batch_size=4) for _ in range(3)]
+    assert [r.status for r in runs] == ["FAILED", "FAILED", "QUARANTINED"]
+    held = loaded.read("quarantine_records").collect()
+    assert [h.failed_rules for h in held] == [["BATCH_FAILED"]] * 4
+    assert loaded.read("data_quality_metrics").count() == 0
+    after = silver.transform_batch(loaded, "CLAIMS", DAY)
+    assert (after.status, after.read) == ("SUCCESS", 6)
+
+
 def test_stream_runs_silver_batches(spark, landing, tmp_path):
     store = Store(spark, str(tmp_path / "lake"), buckets=2)
     bronze.discover_files(store, landing, now())
