@@ -5,10 +5,13 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedmill.functions.dates import boundary_diff
+from feedmill.functions.dialect import to_spark
+from feedmill.operators.joins import collect_metadata
 
 
 @dataclass
@@ -140,6 +143,75 @@ def evaluate(measured: DataFrame, metrics: list[Metric]) -> DataFrame:
     return with_verdict(joined)
 
 
+def measurement_sql(query: str) -> str:
+    """Measurement text of a metric definition as Spark SQL; a share of nothing is NULL."""
+    return re.sub(r"(/\s*(?:\(\s*SELECT\s+)?)(COUNT\([^()]*\))", r"\1NULLIF(\2, 0)", to_spark(query), flags=re.I)
+
+
+def run_definitions(definitions: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+    """Enabled metric definitions measured by their own texts, with verdicts.
+
+    All texts of one table are scalar subqueries of one plan. A text that is no
+    valid SQL, or whose table is unknown, gives ERROR and the reason in ``error``;
+    the other definitions are measured all the same.
+    """
+    spark = definitions.sparkSession
+    rows = collect_metadata(definitions.filter("enabled"))
+    parts = []
+    for name in sorted({r.target_table for r in rows}):
+        frame = tables.get(name)
+        wanted = sorted((r for r in rows if r.target_table == name), key=lambda r: r.metric_name)
+        good, entries = [], []
+        for r in wanted:
+            value, error = "CAST(NULL AS DOUBLE)", None
+            if frame is None:
+                error = f"unknown table {name}"
+            else:
+                text = f"CAST(({measurement_sql(r.measurement_query or '')}) AS DOUBLE)"
+                error = _sql_error(frame, name, text)
+                value = value if error else text
+            good.append(value)
+            entries.append((r, error))
+        source = spark.range(1) if frame is None else frame
+        totals = _over(source, name, ", ".join(f"{v} AS v{i}" for i, v in enumerate(good)))
+        listed = F.array(*[
+            F.struct(
+                F.lit(r.metric_name).alias("metric_name"), F.lit(name).alias("target_table"),
+                F.lit(r.target_column).cast("string").alias("target_column"),
+                F.lit(r.metric_type).cast("string").alias("metric_type"), F.col(f"v{i}").alias("metric_value"),
+                F.lit(r.threshold_value).cast("double").alias("threshold_value"),
+                F.lit(r.threshold_operator).cast("string").alias("threshold_operator"),
+                F.lit(bool(r.alert_on_failure)).alias("alert_on_failure"), F.lit(error).cast("string").alias("error"),
+            )
+            for i, (r, error) in enumerate(entries)
+        ])
+        parts.append(totals.select(F.explode(listed).alias("m")).select("m.*"))
+    if not parts:
+        parts = [spark.createDataFrame([], "metric_name string, target_table string, target_column string, "
+                                           "metric_type string, metric_value double, threshold_value double, "
+                                           "threshold_operator string, alert_on_failure boolean, error string")]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return with_verdict(out).withColumn(
+        "pass_fail", F.when(F.col("error").isNotNull(), "ERROR").otherwise(F.col("pass_fail")))
+
+
+def _over(rows: DataFrame, name: str, select: str) -> DataFrame:
+    """One row of scalar subqueries that know ``rows`` as ``name``."""
+    text = select.replace("{", "{{").replace("}", "}}")
+    return rows.sparkSession.sql(f"WITH `{name}` AS (SELECT * FROM {{_rows}}) SELECT {text}", _rows=rows)
+
+
+def _sql_error(rows: DataFrame, name: str, text: str) -> str | None:
+    try:
+        _over(rows, name, text)
+    except (AnalysisException, ParseException) as error:
+        lines = str(error).strip().splitlines()
+        return lines[0] if lines else type(error).__name__
+    return None
+
+
 def with_verdict(rows: DataFrame) -> DataFrame:
     value, limit, op = F.col("metric_value"), F.col("threshold_value"), F.col("threshold_operator")
     ok = (

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from feedmill import model
 from feedmill.functions import dialect
+from feedmill.operators import mapping
 from feedmill.operators.joins import collect_metadata
 from feedmill.operators.merge import delete_where, diff_rows, rows_to_insert, update_where
 from feedmill.plans.store import BUCKET, ROW, Store
-from feedmill.session import stage
+from feedmill.session import drop_staged, stage
 
 SCHEMA_KEY = ["table_name", "column_name", "tpa"]
 MAPPING_KEY = ["source_field", "source_table", "target_table", "target_column", "tpa"]
@@ -44,6 +45,26 @@ def load_field_mappings(store: Store, rows: DataFrame, as_of: Column) -> None:
     )
 
 
+def store_proposals(store: Store, proposed: DataFrame, as_of: Column) -> int:
+    """Add proposed mappings (of names or of a model) to the stored ones; returns how many."""
+    fresh = stage(rows_to_insert(proposed, store.snapshot("field_mappings"), MAPPING_KEY), "proposed")
+    count = fresh.count()
+    if count:
+        load_field_mappings(store, fresh, as_of)
+    drop_staged(fresh)
+    return count
+
+
+def auto_map(store: Store, tpa: str, as_of: Column, top_n: int = 3, min_confidence: float = 0.6) -> int:
+    """Propose unapproved mappings for the raw fields of a provider and store the new ones."""
+    fields = mapping.source_fields(store.read("raw_data"), tpa).select(F.col("field_name").alias("source_field"))
+    targets = store.snapshot("target_schemas").filter("active").select(
+        F.col("table_name").alias("target_table"), F.col("column_name").alias("target_column")).distinct()
+    proposed = mapping.propose_mappings(
+        fields, targets, store.snapshot("field_mappings"), tpa, top_n=top_n, min_confidence=min_confidence)
+    return store_proposals(store, proposed, as_of)
+
+
 def load_rules(store: Store, rows: DataFrame, as_of: Column) -> None:
     store.merge(
         "transformation_rules", rows, RULE_KEY,
@@ -65,16 +86,19 @@ def seed(store: Store, table: str, rows: DataFrame, keys: list[str]) -> None:
 # -- checks and definitions ------------------------------------------------------------
 
 def validate_schemas(schemas: DataFrame) -> DataFrame:
-    """Per table: active columns, bad types, repeated columns and the verdict."""
-    checked = schemas.filter("active").groupBy("table_name").agg(
-        F.count(F.lit(1)).alias("column_count"),
-        F.count_if(~F.col("data_type").rlike(model.TYPE_PATTERN)).alias("invalid_types"),
-        (F.count(F.lit(1)) - F.count_distinct("column_name", F.coalesce("tpa", F.lit("")))).alias("duplicate_columns"),
+    """Per table: active columns, bad types, repeated column names and the verdict."""
+    active = F.coalesce("active", F.lit(False))
+    checked = schemas.groupBy("table_name").agg(
+        F.count_if(active).alias("column_count"),
+        F.count_if(active & ~F.col("data_type").rlike(model.TYPE_PATTERN)).alias("invalid_types"),
+        (F.count_if(active) - F.count_distinct(F.when(active, F.col("column_name")))).alias("duplicate_columns"),
     )
-    part = lambda c, text: F.when(F.col(c) > 0, F.concat(F.col(c).cast("string"), F.lit(text))).otherwise("")
+    part = lambda hit, text: F.when(hit, text).otherwise("")
+    # The texts users know.
     errors = F.concat(
-        part("invalid_types", " invalid data type(s) found. "),
-        part("duplicate_columns", " duplicate column(s) found. "),
+        part(F.col("column_count") == 0, "No columns defined for table. "),
+        part(F.col("invalid_types") > 0, "Invalid data types detected. "),
+        part(F.col("duplicate_columns") > 0, "Duplicate column names detected. "),
     )
     return checked.withColumn(
         "message",
@@ -168,15 +192,6 @@ def drop_table(store: Store, table: str, metadata_only: bool = False) -> str:
     return f"Dropped table: {name}"
 
 
-def _rewrite(store: Store, table: str, rows: DataFrame) -> None:
-    """Replace a silver table by ``rows``, which may read it."""
-    kept = stage(rows, "rewrite")
-    store.drop(table)
-    columns = [f for f in kept.schema.fields if f.name not in (ROW, BUCKET)]
-    store.create(table, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns))
-    kept.write.mode("append").partitionBy(BUCKET).parquet(store.path(table))
-
-
 def add_column(store: Store, table: str, column: str, data_type: str, tpa: str, as_of: Column,
                nullable: bool = True, default: str | None = None, description: str | None = None) -> str:
     if not tpa:
@@ -191,7 +206,7 @@ def add_column(store: Store, table: str, column: str, data_type: str, tpa: str,
         value = F.expr(dialect.to_spark(default)) if default else F.lit(None)
         rows = store.silver(table)
         if column.upper() not in [c.upper() for c in rows.columns]:
-            _rewrite(store, table, rows.withColumn(column.upper(), value.cast(dialect.type_name(data_type))))
+            store.swap(table, rows.withColumn(column.upper(), value.cast(dialect.type_name(data_type))))
     return f"Added column {column.upper()} to {table.upper()}"
 
 
@@ -208,7 +223,7 @@ def alter_column(store: Store, table: str, column: str, as_of: Column, data_type
     store.replace("target_schemas", update_where(store.snapshot("target_schemas"), here, values))
     if data_type is not None and store.is_created(table):
         rows = store.silver(table)
-        _rewrite(store, table, rows.withColumn(column, F.col(column).try_cast(dialect.type_name(data_type))))
+        store.swap(table, rows.withColumn(column, F.col(column).try_cast(dialect.type_name(data_type))))
     return f"Altered column {column.upper()} of {table.upper()}"
 
 
@@ -216,7 +231,7 @@ def drop_column(store: Store, table: str, column: str) -> str:
     here = (F.upper("table_name") == table.upper()) & (F.upper("column_name") == column.upper())
     store.replace("target_schemas", update_where(store.snapshot("target_schemas"), here, {"active": F.lit(False)}))
     if store.is_created(table):
-        _rewrite(store, table, store.silver(table).drop(column))
+        store.swap(table, store.silver(table).drop(column))
     return f"Dropped column {column.upper()} from {table.upper()}"
 
 
@@ -238,7 +253,7 @@ def sync_table(store: Store, table: str, reset: bool = False) -> str:
         ],
         ROW, BUCKET,
     )
-    _rewrite(store, table, rows)
+    store.swap(table, rows)
     return f"Synchronised table: {table.upper()}"
 
 

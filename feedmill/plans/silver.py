@@ -57,6 +57,23 @@ def approved_mappings(mappings: DataFrame, target: str, tpa: str | None = None)
     return list(out.values())
 
 
+def mapping_conflicts(mappings: DataFrame, target: str, tpa: str | None = None) -> DataFrame:
+    """Metric rows for columns with several approved mappings of one provider; the lowest id is used."""
+    here = mappings.filter(F.col("approved") & (F.upper("target_table") == target.upper()))
+    if tpa is not None:
+        here = here.filter(F.col("tpa").isNull() | (F.col("tpa") == tpa))
+    slots = here.groupBy("target_column", "tpa").agg(
+        F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list("mapping_id")).alias("ids")).filter("n > 1")
+    return slots.select(
+        F.lit(None).cast("string").alias("rule_id"), F.lit(target.upper()).alias("table_name"),
+        F.col("target_column").alias("column_name"), F.lit("MAPPING_ERROR").alias("metric_type"),
+        (F.col("n") - 1).cast("double").alias("metric_value"), F.lit(0.0).alias("threshold_value"),
+        F.lit("FAIL").alias("pass_fail"),
+        F.concat(F.lit("several mappings for "), F.coalesce("tpa", F.lit("all providers")), F.lit(": "),
+                 F.array_join(F.transform("ids", lambda i: i.cast("string")), ", ")).alias("details"),
+    )
+
+
 def mapping_column(mapping: Mapping, known_fields: list[str] | None = None) -> Column:
     """Column of one mapping: an expression, a raw-row column, or a field in any case."""
     field = mapping.source_field
@@ -249,7 +266,7 @@ def transform_batch(
         checked.rows = stage(checked.rows, "checked")
         staged.append(checked.rows)
         result.read = checked.rows.count()
-        metrics = [checked.metrics()]
+        metrics = [checked.metrics(), mapping_conflicts(store.snapshot("field_mappings"), target, tpa)]
         if strict and checked.rows.filter("_removed_at IS NOT NULL").limit(1).count():
             raise ValueError("batch holds rejected rows and strict is set")
         business = rule_ops.apply_business_rules(checked.survivors(), rules, target.upper())

@@ -124,7 +124,35 @@ class Store:
         empty = self.spark.createDataFrame([], f"{schema}, {ROW} bigint, {BUCKET} int")
         empty.write.mode("errorifexists").parquet(f"{self.root}/_schema/{table.lower()}")
 
+    def swap(self, table: str, rows: DataFrame) -> None:
+        """Replace data and columns of a silver table by ``rows``, which may read it.
+
+        All is written beside the table first. From the marker on, a reader
+        finishes a switch that was cut off; before it, the old table stands.
+        """
+        beside = f"{self.path(table)}.next"
+        columns = [c for c in rows.columns if c not in (ROW, BUCKET)]
+        rows.select(*columns, ROW, BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{beside}/data")
+        rows.select(*columns, ROW, BUCKET).limit(0).write.mode("overwrite").parquet(f"{beside}/shape")
+        fs, marker = self._folder(f"{beside}/ready")
+        fs.mkdirs(marker)
+        self._finish_swap(table)
+
+    def _finish_swap(self, table: str) -> None:
+        beside = f"{self.path(table)}.next"
+        fs, marker = self._folder(f"{beside}/ready")
+        if not fs.exists(marker):
+            return
+        for part, place in (("data", self.path(table)), ("shape", f"{self.root}/_schema/{table.lower()}")):
+            _, new = self._folder(f"{beside}/{part}")
+            _, old = self._folder(place)
+            if fs.exists(new):
+                fs.delete(old, True)
+                fs.rename(new, old)
+        fs.delete(marker.getParent(), True)
+
     def is_created(self, table: str) -> bool:
+        self._finish_swap(table)
         fs, target = self._folder(f"{self.root}/_schema/{table.lower()}")
         return fs.exists(target)
 
@@ -135,6 +163,7 @@ class Store:
                 fs.delete(target, True)
 
     def silver(self, table: str) -> DataFrame:
+        self._finish_swap(table)
         shape = self.spark.read.parquet(f"{self.root}/_schema/{table.lower()}")
         if not self.exists(table):
             return shape

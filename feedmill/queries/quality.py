@@ -330,7 +330,7 @@ def measured_sql(*names: str) -> str:
     return sql("claims", f"SELECT * FROM ({_MEASURED}) WHERE metric_name SIMILAR TO '({'|'.join(names)}) - .*'")
 
 
-def _verdict_sql() -> str:
+def verdict_sql() -> str:
     limits = {m.name: (float(m.threshold), m.operator, m.alert) for m in _definitions_for_sql()}
     rows = ", ".join(f"('{n}', CAST({t} AS DOUBLE), '{o}', {str(a).lower()})" for n, (t, o, a) in limits.items())
     return sql("claims", f"""SELECT metric_name, metric_value, threshold_value, threshold_operator,
@@ -342,7 +342,7 @@ def _verdict_sql() -> str:
 
 
 # Thresholds of the metrics above, as the check needs them without a session.
-_LIMITS = [
+LIMITS = [
     ("Completeness - First Name", 99.0, ">=", True), ("Completeness - Claim", 100.0, ">=", True),
     ("Validity - Service Date", 99.0, ">=", True), ("Validity - NPI", 95.0, ">=", True),
     ("Validity - Positive", 99.5, ">=", True), ("Consistency - Allowed", 98.0, ">=", True),
@@ -355,7 +355,7 @@ _LIMITS = [
 
 
 def _definitions_for_sql():
-    return [Q.Metric(n, "", "", t, o, alert=a) for n, t, o, a in _LIMITS]
+    return [Q.Metric(n, "", "", t, o, alert=a) for n, t, o, a in LIMITS]
 
 
 def _resolved(s, d):
@@ -388,7 +388,7 @@ QUALITY = {
     "dq_10_thresholds": Query(
         lambda s, d: shown(Q.evaluate(Q.measure(T.claims(s, d), _definitions()), _definitions())).select(
             "metric_name", "metric_value", "threshold_value", "threshold_operator", "pass_fail", "alert"),
-        _verdict_sql()),
+        verdict_sql()),
     "dq_11_rule_preview": Query(
         lambda s, d: E.apply_quality_rules(
             T.claims(s, d).orderBy("raw_id").limit(200), rule_list(s, QUALITY_RULES), "CLAIMS"

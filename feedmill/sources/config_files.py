@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedmill.functions.dialect import repair_commas, to_spark
 from feedmill.functions.text import blank_to_null, parse_flag
 
 
@@ -98,8 +97,3 @@ def prompt_templates(spark: SparkSession, path: str) -> DataFrame:
         F.col("model_preference").alias("model_name"),
         "description", parse_flag(F.col("enabled")).alias("active"),
     )
-
-
-def measurement_sql(query: str) -> str:
-    """Measurement text of a metric definition as Spark SQL."""
-    return to_spark(repair_commas(query))

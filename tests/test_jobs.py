@@ -280,6 +280,36 @@ def test_batch_that_never_works_goes_to_quarantine(loaded, monkeypatch):
     assert (after.status, after.read) == ("SUCCESS", 6)
 
 
+def test_stored_proposals_and_conflicts(loaded):
+    kept = loaded.snapshot("field_mappings").filter("tpa IS NULL OR tpa <> 'provider_b'")
+    loaded.replace("field_mappings", kept)
+    assert schema_admin.auto_map(loaded, "provider_b", now(), min_confidence=0.2) > 0
+    assert schema_admin.auto_map(loaded, "provider_b", now(), min_confidence=0.2) == 0
+    stored = loaded.snapshot("field_mappings").filter("mapping_method = 'ML_AUTO'")
+    assert stored.filter("approved OR created_timestamp IS NULL").count() == 0
+    approved = loaded.snapshot("field_mappings").withColumn("approved", F.lit(True))
+    double = approved.filter("target_column = 'FIRST_NAME'").withColumn("mapping_id", F.col("mapping_id") + 1000)
+    loaded.replace("field_mappings", loaded.snapshot("field_mappings").filter("mapping_method <> 'ML_AUTO'")
+                   .unionByName(double.filter("tpa = 'provider_a'")))
+    assert silver.transform_batch(loaded, "CLAIMS", DAY).status == "SUCCESS"
+    errors = loaded.read("data_quality_metrics").filter("metric_type = 'MAPPING_ERROR'").collect()
+    assert [(e.column_name, e.metric_value) for e in errors] == [("FIRST_NAME", 1.0)]
+    assert "provider_a" in errors[0].details
+
+
+def test_cut_off_switch_of_a_table(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path / "lake"), buckets=2)
+    store.create("T", "K string, V bigint")
+    store.upsert("T", spark.createDataFrame([("a", 1), ("b", 2)], "K string, V bigint"), "K", ["V"])
+    wider = store.silver("T").withColumn("W", F.col("V") * 2)
+    with monkeypatch.context() as broken:
+        broken.setattr(Store, "_finish_swap", lambda *_: None)
+        store.swap("T", wider)
+        assert store.silver("T").columns[:2] == ["K", "V"] and store.silver("T").count() == 2
+    assert sorted((r.K, r.W) for r in store.silver("T").collect()) == [("a", 2), ("b", 4)]
+    assert not store.exists("T.next")
+
+
 def test_stream_runs_silver_batches(spark, landing, tmp_path):
     store = Store(spark, str(tmp_path / "lake"), buckets=2)
     bronze.discover_files(store, landing, now())

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedmill.functions import dates, dialect, paths, text
-from feedmill.operators import dedup, joins, limits, mapping, merge, rules, suggestions
+from feedmill.operators import dedup, joins, limits, mapping, merge, quality, rules, suggestions
 from feedmill.plans import silver
 from feedmill.sources import config_files, tabular
 
@@ -212,6 +212,8 @@ def test_dialect():
     assert dialect.to_spark("TO_DATE(source_value 'MM-DD-YYYY')") == "try_to_date(source_value, 'MM-dd-yyyy')"
     assert dialect.to_spark("CAST(source_value AS NUMBER(10 2))") == "TRY_CAST(source_value AS DECIMAL(10, 2))"
     assert dialect.to_spark("IN ('PPO' 'HMO')") == "IN ('PPO', 'HMO')"
+    assert quality.measurement_sql("SELECT (COUNT(A) / (SELECT COUNT(*) FROM T))") == (
+        "SELECT (COUNT(A) / (SELECT NULLIF(COUNT(*), 0) FROM T))")
     assert dialect.to_spark("DATEDIFF('day' A B) <= 30") == "datediff(B, A) <= 30"
     assert dialect.predicate("C", "RLIKE '^[0-9]{2}$'") == "C RLIKE '^(?:^[0-9]{2}$)$'"
     assert dialect.predicate("C", "C IN ('a')") == "C IN ('a')"
