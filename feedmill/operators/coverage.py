@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedmill.functions.variant import fields_of
 from feedmill.operators.dedup import keep_one
-from feedmill.operators.joins import bounded_broadcast, collect_metadata
+from feedmill.operators.joins import bounded_broadcast
 
 
 def file_columns(raw: DataFrame) -> DataFrame:
@@ -21,47 +21,55 @@ def file_columns(raw: DataFrame) -> DataFrame:
     ).select("file_name", "tpa", F.col("field_name").alias("source_column"))
 
 
+def active_tables(schemas: DataFrame) -> Column:
+    """Names of the active target tables, one array found by the query itself."""
+    names = schemas.filter("active").agg(F.array_sort(F.collect_set("table_name")).alias("names"))
+    return names.scalar()
+
+
 def fields_by_table(columns: DataFrame, schemas: DataFrame) -> DataFrame:
     """Every column beside every active target table.
 
-    The table names are metadata (checked size), carried as an array literal, so
-    the pairing is a map over the columns and not a join.
+    The table names are one array, so the pairing is a map over the columns and
+    not a join.
     """
-    names = [r.table_name for r in collect_metadata(schemas.filter("active").select("table_name").distinct())]
-    tables = F.array(*[F.lit(t) for t in sorted(names)]).cast("array<string>")
-    return columns.withColumn("target_table", F.explode(tables))
+    paired = columns.withColumn("_tables", active_tables(schemas))
+    return paired.withColumn("target_table", F.explode("_tables")).drop("_tables")
 
 
 def file_mapping_coverage(raw: DataFrame, schemas: DataFrame, mappings: DataFrame) -> DataFrame:
-    """Per (file, target table): columns mapped and unmapped, percent, status, column lists."""
-    columns = fields_by_table(file_columns(raw), schemas)
-    approved = mappings.filter("approved").select(
-        F.upper(F.trim("source_field")).alias("_field"), F.col("target_table").alias("_table"),
-        F.col("tpa").alias("_tpa"), "target_column", "mapping_id",
+    """Per (file, target table): columns mapped and unmapped, percent, status, column lists.
+
+    Columns meet mappings by name, so only hits are joined and grouped; a file is
+    then listed once per table, with its hits there, if any.
+    """
+    columns = file_columns(raw)
+    approved = mappings.filter("approved AND mapping_id IS NOT NULL").select(
+        F.upper(F.trim("source_field")).alias("_field"), "target_table",
+        F.col("tpa").alias("_tpa"), "target_column",
     )
-    joined = columns.join(
+    hits = columns.join(
         bounded_broadcast(approved),
         (F.upper(F.trim("source_column")) == F.col("_field"))
-        & (F.col("target_table") == F.col("_table"))
         & (F.col("_tpa").isNull() | (F.col("_tpa") == F.col("tpa"))),
-        "left",
-    )
-    # One row per (file, target, source column) first; lists are then per-file column lists.
-    per_column = joined.groupBy("file_name", "target_table", "source_column").agg(
-        F.count("mapping_id").alias("hits"),
-        F.collect_set("target_column").alias("targets"),
+    ).groupBy("file_name", "target_table").agg(
+        F.array_sort(F.collect_set("source_column")).alias("mapped"),
+        F.array_sort(F.collect_set("target_column")).alias("targets"),
     )
-    mapped = F.col("hits") > 0
-    stats = per_column.groupBy("file_name", "target_table").agg(
-        F.count(F.lit(1)).alias("total_source_columns"),
-        F.count_if(mapped).alias("mapped_columns"),
-        F.count_if(~mapped).alias("unmapped_columns"),
-        F.array_sort(F.collect_set("source_column")).alias("all_source_columns"),
-        F.array_sort(F.collect_set(F.when(mapped, F.col("source_column")))).alias("mapped_column_list"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("targets")))).alias("target_column_list"),
+    files = columns.groupBy("file_name").agg(
+        F.array_sort(F.collect_set("source_column")).alias("all_source_columns"))
+    none = F.array().cast("array<string>")
+    stats = fields_by_table(files, schemas).join(hits, ["file_name", "target_table"], "left").select(
+        "file_name", "target_table", "all_source_columns",
+        F.coalesce("mapped", none).alias("mapped_column_list"),
+        F.coalesce("targets", none).alias("target_column_list"),
     )
+    counted = stats.select(
+        "*", F.size("all_source_columns").cast("long").alias("total_source_columns"),
+        F.size("mapped_column_list").cast("long").alias("mapped_columns"),
+    ).withColumn("unmapped_columns", F.col("total_source_columns") - F.col("mapped_columns"))
     percent = F.round(F.col("mapped_columns") * 100.0 / F.col("total_source_columns"), 2)
-    return stats.select(
+    return counted.select(
         "file_name", "target_table", "total_source_columns", "mapped_columns", "unmapped_columns",
         percent.alias("mapping_coverage_pct"),
         F.when(percent >= 80, "Good").when(percent >= 50, "Fair").otherwise("Poor").alias("coverage_status"),

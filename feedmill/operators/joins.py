@@ -9,16 +9,9 @@ HOT_KEYS = 1000
 METADATA_ROWS = 100_000
 
 
-class MetadataTooLarge(ValueError):
-    """A table meant to be small configuration is not."""
-
-
-def collect_metadata(df: DataFrame, limit: int = METADATA_ROWS) -> list:
-    """Bring a configuration table to the driver, refusing one over ``limit`` rows."""
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise MetadataTooLarge(f"more than {limit} configuration rows")
-    return rows
+def collect_metadata(df: DataFrame) -> list:
+    """Configuration rows that become expressions of one plan: rules, mappings, columns of a table."""
+    return df.collect()
 
 
 def attach_by_key(
@@ -104,11 +97,8 @@ def effective_mappings(mappings: DataFrame, tpa: str | None = None) -> DataFrame
     own = own.select("tpa", *slot, F.struct(*facts).alias("own"))
     shared = approved.filter(F.col("tpa").isNull()).select(*slot, F.struct(*facts).alias("shared"))
     if tpa is None:
-        providers = [r.tpa for r in collect_metadata(own.select("tpa").distinct())]
-        if providers:
-            shared = shared.withColumn("tpa", F.explode(F.array(*[F.lit(p) for p in providers])))
-        else:
-            shared = shared.withColumn("tpa", F.lit(None).cast("string"))
+        providers = own.agg(F.collect_set("tpa").alias("tpas")).scalar()
+        shared = shared.withColumn("_tpas", providers).withColumn("tpa", F.explode_outer("_tpas")).drop("_tpas")
         merged = own.join(shared, ["tpa", *slot], "full")
     else:
         merged = own.drop("tpa").join(shared, slot, "full").withColumn("tpa", F.lit(tpa))

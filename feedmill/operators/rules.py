@@ -71,7 +71,7 @@ def active_rules(rules: DataFrame, target_table: str | None = None) -> list[Rule
         chosen = chosen.filter(
             F.col("target_table").isNull() | (F.upper("target_table") == target_table.upper())
         )
-    found = [Rule.from_row(r) for r in collect_metadata(chosen, 10_000)]
+    found = [Rule.from_row(r) for r in collect_metadata(chosen)]
     found.sort(key=lambda r: (r.priority, r.rule_id))
     return resolve_providers(found)
 

@@ -265,9 +265,9 @@ def _new_listing(s, d):
 def _theta(s, d):
     """Fields of every provider against mappings of that provider or of all."""
     approved = T.mappings(s, d).filter("approved")
-    tpas = [r[0] for r in joins.collect_metadata(T.load(s, d, "part").select(F.lower("p_type").alias("tpa")).distinct())]
-    fields = approved.select(F.col("source_field").alias("field")).distinct().withColumn(
-        "tpa", F.explode(F.array(*[F.lit(t) for t in tpas])))
+    tpas = T.load(s, d, "part").agg(F.collect_set(F.lower("p_type")).alias("tpas")).scalar()
+    fields = approved.select(F.col("source_field").alias("field")).distinct().withColumn("_tpas", tpas)
+    fields = fields.withColumn("tpa", F.explode("_tpas")).drop("_tpas")
     wanted = approved.select(
         F.upper(F.trim("source_field")).alias("_f"), F.col("tpa").alias("_tpa"), "mapping_id")
     hit = (F.upper(F.trim("field")) == F.col("_f")) & ((F.col("_tpa") == F.col("tpa")) | F.col("_tpa").isNull())

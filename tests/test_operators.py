@@ -281,11 +281,6 @@ def test_large_reference_equals_small_one(spark, skewed, monkeypatch):
     assert small == {i: {"hot": "h", "k1": "one", "k2": "two"}.get(k) for i, k, _ in rows}
 
 
-def test_metadata_limit(spark):
-    with pytest.raises(joins.MetadataTooLarge):
-        joins.collect_metadata(spark.range(20), 10)
-
-
 def test_header_width_of_quoted_headers(spark):
     from feedmill.sources.tabular import header_width
 
