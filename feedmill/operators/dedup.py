@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedmill.operators.components import connected_components
 from feedmill.operators.joins import with_key_count
+from feedmill.session import stage
 
 
 def keep_one(rows: DataFrame, keys: list, order: list[Column]) -> DataFrame:
@@ -181,24 +183,24 @@ def drop_fuzzy_duplicates(
     row_id: str = "raw_id",
     keep: str = "LAST",
 ) -> DataFrame:
-    """Drop a row when a later (``LAST``) or earlier (``FIRST``) row has a similar name.
+    """Keep the last (``LAST``) or first row of every group of similar names.
 
-    Equal names are folded first, so matching runs over distinct names and a
-    hot name costs one entry; ``within`` names the columns that must be equal.
+    Groups are connected: names linked through others belong together. Equal
+    names are folded first and written once, so matching runs over distinct
+    names and a hot name costs one entry; ``within`` names the columns that must
+    be equal. Rows without a name stay.
     """
     if keep not in ("LAST", "FIRST"):
         raise ValueError(f"unknown keep: {keep}")
     edge = F.max if keep == "LAST" else F.min
-    better = F.greatest if keep == "LAST" else F.least
-    per_name = rows.filter(F.col(name).isNotNull()).groupBy(*within, name).agg(edge(row_id).alias("_edge"))
+    named = rows.filter(F.col(name).isNotNull())
+    per_name = stage(named.groupBy(*within, name).agg(edge(row_id).alias("_edge")), "names")
     pairs = similar_names(per_name, name, within, threshold)
-    both = pairs.unionByName(pairs.select(*within, F.col("a").alias("b"), F.col("b").alias("a")))
-    other = per_name.select(*within, F.col(name).alias("b"), F.col("_edge").alias("_other"))
-    neighbour = both.join(other, [*within, "b"]).groupBy(*within, F.col("a").alias(name)).agg(
-        edge("_other").alias("_other")
-    )
-    winners = per_name.join(neighbour, [*within, name], "left")
-    winners = winners.filter(better("_edge", F.coalesce("_other", "_edge")) == F.col("_edge"))
-    kept_ids = winners.select(F.col("_edge").alias(row_id))
+    for side in ("a", "b"):
+        ids = per_name.select(*within, F.col(name).alias(side), F.col("_edge").alias(f"_{side}"))
+        pairs = pairs.join(ids, [*within, side])
+    groups = connected_components(pairs.select(F.col("_a").alias("a"), F.col("_b").alias("b")))
+    member = per_name.select("_edge").join(groups, F.col("_edge") == F.col("node"), "left")
+    winners = member.groupBy(F.coalesce("component", "_edge").alias("_group")).agg(edge("_edge").alias(row_id))
     unnamed = rows.filter(F.col(name).isNull())
-    return rows.join(kept_ids, row_id, "left_semi").unionByName(unnamed)
+    return rows.join(winners.select(row_id), row_id, "left_semi").unionByName(unnamed)

@@ -214,10 +214,11 @@ RULES = {
             count(*) OVER (PARTITION BY first_name, member_id) AS n FROM claims) WHERE n = 1 OR first_name IS NULL""")),
     "rule_12_fuzzy_dedup": Query(
         lambda s, d: _fuzzy(s, d).select("raw_id", "name"),
-        """WITH c AS (SELECT c_custkey AS raw_id, c_nationkey, c_mktsegment, c_name AS name FROM customer)
-           SELECT raw_id, name FROM c WHERE NOT EXISTS (SELECT 1 FROM c x WHERE x.c_nationkey = c.c_nationkey
-             AND x.c_mktsegment = c.c_mktsegment AND x.raw_id > c.raw_id
-             AND levenshtein(x.name, c.name) <= floor(greatest(length(x.name), length(c.name)) * 0.15 + 1e-9))"""),
+        """WITH RECURSIVE c AS (SELECT c_custkey AS raw_id, c_nationkey, c_mktsegment, c_name AS name FROM customer),
+           e AS MATERIALIZED (SELECT c.raw_id AS a, x.raw_id AS b FROM c JOIN c x ON x.c_nationkey = c.c_nationkey AND x.c_mktsegment = c.c_mktsegment
+             WHERE levenshtein(x.name, c.name) <= floor(greatest(length(x.name), length(c.name)) * 0.15 + 1e-9)),
+           r AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+           SELECT raw_id, name FROM c WHERE raw_id = (SELECT max(b) FROM r WHERE r.a = c.raw_id)"""),
     "rule_13_referential": Query(
         lambda s, d: _referential(s, d).metrics().select("rule_id", "metric_value"),
         sql("claims", """SELECT 'F1' AS rule_id, CAST(count(CASE WHEN m.c_custkey IS NULL THEN 1 END) AS DOUBLE) AS metric_value

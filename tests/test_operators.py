@@ -115,6 +115,18 @@ def test_similar_names_finds_every_pair(spark):
     assert got == want and len(want) > 50
 
 
+def test_fuzzy_duplicates_are_connected_groups(spark):
+    # abcdefgh - abcdefgX - abcdefYX: the ends are too far apart, the chain is one group.
+    rows = [(1, "abcdefgh"), (2, "abcdefgX"), (3, "abcdefYX"), (4, "other name"), (5, None), (6, "abcdefgh"), (7, None)]
+    df = spark.createDataFrame([(i, n, "g") for i, n in rows] + [(8, "abcdefgh", "h")], "raw_id bigint, name string, g string")
+    last = dedup.drop_fuzzy_duplicates(df, "name", ["g"], 0.85).collect()
+    first = dedup.drop_fuzzy_duplicates(df, "name", ["g"], 0.85, keep="FIRST").collect()
+    assert sorted(r.raw_id for r in last) == [4, 5, 6, 7, 8]
+    assert sorted(r.raw_id for r in first) == [1, 4, 5, 7, 8]
+    none = dedup.drop_fuzzy_duplicates(df.filter("raw_id = 4"), "name", ["g"], 0.85)
+    assert [r.raw_id for r in none.collect()] == [4]
+
+
 def test_mapping_scores_match_brute_force(spark):
     sources = ["CLM_NBR", "Claim Number", "PAT_FNAME", "PatientFirstName", "SVC_DT", "x", "Provider-NPI", "plan type"]
     targets = ["CLAIM_NUMBER", "PATIENT_FIRST_NAME", "SERVICE_DATE", "PROVIDER_NPI", "PLAN_TYPE", "X", "PLAN"]
