@@ -22,7 +22,7 @@ from feedmill.operators import limits, quality
 from feedmill.operators.dedup import keep_last
 from feedmill.operators.merge import apply_changes, delete_where, merge_rows, rows_to_insert, update_where
 from feedmill.operators.rules import active_rules
-from feedmill.plans import bronze, schema_admin as A, silver
+from feedmill.plans import bronze, schema_admin as A, silver, views
 from feedmill.plans.store import BUCKET, ROW, Store
 from feedmill.queries import tables as T
 from feedmill.queries.quality import LIMITS, rule_frame, verdict_sql
@@ -404,6 +404,8 @@ SINKS = {
     "snk_03_staged_batch": Query(
         lambda s, d: session.stage(T.claims(s, d).select("raw_id", "claim_num"), "batch"),
         sql("claims", "SELECT raw_id, claim_num FROM claims")),
+    "snk_04_appended_rows": Query(
+        lambda s, d: _appended(s, d), sql("metrics", "SELECT table_name, pass_fail, count(*) AS metrics FROM metrics WHERE metric_value IS NOT NULL GROUP BY ALL")),
     "snk_05_audit_rows": Query(
         _audit,
         sql("log", f"SELECT batch_id, status, strftime(end_timestamp, {TS}) AS end_timestamp FROM log")),
@@ -709,8 +711,20 @@ def good_sql(body: str) -> str:
     return sql("claims", "").rstrip() + ",\n" + _GOOD + "\n" + body
 
 
-def _claim_store(s, d) -> Store:
-    store = Store(s, session.scratch_path(s, "lake"), buckets=8)
+class _LosesMark(Store):
+    """A store whose first write of the high-water mark fails."""
+
+    lost = False
+
+    def merge(self, table, *args, **options):
+        if table == "processing_watermarks" and not self.lost:
+            self.lost = True
+            raise RuntimeError("the mark was not written")
+        return super().merge(table, *args, **options)
+
+
+def _claim_store(s, d, kind: type[Store] = Store) -> Store:
+    store = kind(s, session.scratch_path(s, "lake"), buckets=8)
     A.load_target_schemas(store, s.createDataFrame(
         [("CLAIMS", c, None, t, True, None, None) for c, t in CLAIM_TARGET],
         "table_name string, column_name string, tpa string, data_type string, nullable boolean, default_value string, description string"),
@@ -738,8 +752,29 @@ def _batch(s, d):
     return store
 
 
-def _batch_state(s, d):
-    store = _batch(s, d)
+def _rerun(s, d):
+    """State after a batch that failed before its mark was written and ran again."""
+    store = _claim_store(s, d, _LosesMark)
+    states = [silver.transform_batch(store, "CLAIMS", NOW, batch_size=None).status for _ in range(2)]
+    if states != ["FAILED", "SUCCESS"]:
+        raise RuntimeError(f"unexpected states {states}")
+    return _state(store)
+
+
+def _appended(s, d):
+    store = Store(s, session.scratch_path(s, "lake"))
+    for part in ("value <= 300", "value > 300"):
+        rows = T.metrics(s, d).filter(part.replace("value", "metric_value"))
+        store.append("data_quality_metrics", rows)
+    return store.read("data_quality_metrics").groupBy("table_name", "pass_fail").agg(F.count(F.lit(1)).alias("metrics"))
+
+
+def _staleness(s, d):
+    return views.watermark_status(_batch(s, d).snapshot("processing_watermarks"), as_of()).select(
+        "watermark_id", "last_processed_id", "status")
+
+
+def _state(store: Store) -> DataFrame:
     metrics = store.read("data_quality_metrics").select(F.concat("metric_type", F.lit("/"), "rule_id").alias("what"), F.col("metric_value").cast("bigint").alias("n"))
     log = silver.latest_log(store.read(silver.LOG))
     counts = log.select(F.explode(F.create_map(
@@ -809,6 +844,19 @@ def _stream_once(s, d):
     return store.read("raw_data").groupBy("tpa").agg(F.count(F.lit(1)).alias("rows"))
 
 
+_STATE = """SELECT 'read' AS what, count(*) AS n FROM claims UNION ALL SELECT 'mark', max(raw_id) + 1 FROM claims
+            UNION ALL SELECT 'processed', count(*) FROM kept UNION ALL SELECT 'inserted', count(*) FROM kept UNION ALL SELECT 'updated', 0
+            UNION ALL SELECT 'rejected', (SELECT count(*) FROM claims) - count(*) FROM kept
+            UNION ALL SELECT 'RULE_VIOLATIONS/Q1', count(*) FROM claims WHERE first_name IS NULL
+            UNION ALL SELECT 'RULE_VIOLATIONS/Q2', count(*) FROM claims WHERE first_name IS NOT NULL AND NOT regexp_full_match(provider_npi, '[0-9]{10}')
+            UNION ALL SELECT 'quarantined', count(*) FROM claims WHERE first_name IS NOT NULL AND NOT regexp_full_match(provider_npi, '[0-9]{10}')
+            UNION ALL SELECT 'RULE_VIOLATIONS/Q3', count(*) FROM claims WHERE first_name IS NOT NULL AND regexp_full_match(provider_npi, '[0-9]{10}') AND billed < 0
+            UNION ALL SELECT 'RULE_VIOLATIONS/Q4', count(*) FROM good WHERE status NOT IN ('F', 'O')
+            UNION ALL SELECT 'BUSINESS_TRANSFORM/B1', count(*) FROM good UNION ALL SELECT 'STANDARDIZATION/T1', count(*) FROM good
+            UNION ALL SELECT 'STANDARDIZATION/T2', count(*) FROM good
+            UNION ALL SELECT 'DUPLICATES_REMOVED/D1', count(*) - count(DISTINCT claim_num) FROM good"""
+
+
 JOBS = {
     "flagship_silver_summary": Query(
         lambda s, d: silver_claims(s, d).groupBy("tpa", "STATUS").agg(
@@ -821,19 +869,12 @@ JOBS = {
         _provenance, "SELECT 'SRC' AS stage_name, true AS sized, true AS dated, true AS stamped, count(*) AS count FROM events"),
     "job_01_load_queued_files": Query(lambda s, d: _loaded(s, d, False), _LOADED),
     "job_02_silver_batch": Query(lambda s, d: _typed(_batch(s, d).silver("CLAIMS")), good_sql(_SILVER)),
-    "job_02_batch_state": Query(
-        _batch_state,
-        good_sql("""SELECT 'read' AS what, count(*) AS n FROM claims UNION ALL SELECT 'mark', max(raw_id) + 1 FROM claims
-            UNION ALL SELECT 'processed', count(*) FROM kept UNION ALL SELECT 'inserted', count(*) FROM kept UNION ALL SELECT 'updated', 0
-            UNION ALL SELECT 'rejected', (SELECT count(*) FROM claims) - count(*) FROM kept
-            UNION ALL SELECT 'RULE_VIOLATIONS/Q1', count(*) FROM claims WHERE first_name IS NULL
-            UNION ALL SELECT 'RULE_VIOLATIONS/Q2', count(*) FROM claims WHERE first_name IS NOT NULL AND NOT regexp_full_match(provider_npi, '[0-9]{10}')
-            UNION ALL SELECT 'quarantined', count(*) FROM claims WHERE first_name IS NOT NULL AND NOT regexp_full_match(provider_npi, '[0-9]{10}')
-            UNION ALL SELECT 'RULE_VIOLATIONS/Q3', count(*) FROM claims WHERE first_name IS NOT NULL AND regexp_full_match(provider_npi, '[0-9]{10}') AND billed < 0
-            UNION ALL SELECT 'RULE_VIOLATIONS/Q4', count(*) FROM good WHERE status NOT IN ('F', 'O')
-            UNION ALL SELECT 'BUSINESS_TRANSFORM/B1', count(*) FROM good UNION ALL SELECT 'STANDARDIZATION/T1', count(*) FROM good
-            UNION ALL SELECT 'STANDARDIZATION/T2', count(*) FROM good
-            UNION ALL SELECT 'DUPLICATES_REMOVED/D1', count(*) - count(DISTINCT claim_num) FROM good""")),
+    "job_02_batch_state": Query(lambda s, d: _state(_batch(s, d)), good_sql(_STATE)),
+    "job_02_rerun_state": Query(_rerun, good_sql(_STATE.replace(
+        "'inserted', count(*) FROM kept UNION ALL SELECT 'updated', 0", "'inserted', 0 UNION ALL SELECT 'updated', count(*) FROM kept"))),
+    "str_04_staleness": Query(
+        _staleness,
+        sql("claims", "SELECT 'RAW_DATA_TABLE_TO_CLAIMS' AS watermark_id, max(raw_id) + 1 AS last_processed_id, 'Current' AS status FROM claims")),
     "job_03_06_drain_and_reset": Query(
         _two_batches,
         sql("claims", """SELECT CAST(1 AS BIGINT) AS batch, 'SUCCESS' AS status, count(*) * 2 // 3 AS records_read FROM claims
