@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from feedmill.llm.words import id_and_text, ragged, slices, sums_between, utf8, word_table
 
@@ -209,8 +210,9 @@ def _scored(docs: DataFrame, labels: DataFrame, per_class: int, carried: list[st
                 pa.array(1 / (1 + np.exp(-np.clip(logit, -30, 30)))),
             ], names=["carried", "doc_id", "score"])
 
-    kind = rows.schema["carried"].dataType.simpleString()
-    return rows.mapInArrow(score, f"carried {kind}, doc_id long, score double")
+    # a type, not its text: column names may hold any character
+    kind = StructType().add("carried", rows.schema["carried"].dataType).add("doc_id", "long").add("score", "double")
+    return rows.mapInArrow(score, kind)
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> DataFrame:

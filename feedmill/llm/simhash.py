@@ -52,16 +52,18 @@ def fingerprint(text: bytes, words: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
-    """doc_id and fingerprint (a signed long of the 64 bits) of every whole text."""
+    """doc_id, text_hash and fingerprint (a signed long of the 64 bits) of every whole text."""
 
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in slices(batches):
             found = np.array([fingerprint(t.as_buffer().to_pybytes(), words) for t in texts.cast(pa.binary())], np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(found.view(np.int64))], names=["doc_id", "fingerprint"]
+                [part.column("doc_id"), part.column("text_hash"), pa.array(found.view(np.int64))],
+                names=["doc_id", "text_hash", "fingerprint"],
             )
 
-    return id_and_text(docs).mapInArrow(prints, "doc_id long, fingerprint long")
+    hashed = id_and_text(docs).withColumn("text_hash", F.xxhash64("text"))
+    return hashed.mapInArrow(prints, "doc_id long, text_hash long, fingerprint long")
 
 
 def table_masks(number: int, radius: int) -> list[int]:
@@ -250,6 +252,19 @@ def near_links(prints: DataFrame, radius: int = 4) -> DataFrame:
     return _links(grouped, radius)
 
 
+def _components(docs: DataFrame, words: int, radius: int) -> DataFrame:
+    """fingerprints with the component of each: its smallest fingerprint, and component_id."""
+    prints = stage(fingerprints(docs, words), "fingerprints")
+    distinct = stage(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
+    nodes = connected_components(near_links(distinct.select("fingerprint"), radius))
+    placed = distinct.join(nodes, F.col("fingerprint") == F.col("node"), "left").select(
+        F.col("fingerprint").alias("f"), F.coalesce("component", "fingerprint").alias("component"), "least"
+    )
+    lowest = placed.groupBy("component").agg(F.min("least").alias("component_id"))
+    by_print = placed.select("f", "component").join(lowest, "component").select("f", "component", "component_id")
+    return prints.join(by_print, F.col("fingerprint") == F.col("f")).drop("f")
+
+
 def simhash_components(docs: DataFrame, words: int = 4, radius: int = 4) -> DataFrame:
     """doc_id, fingerprint (16 lowercase hex digits) and component_id of every document.
 
@@ -259,25 +274,26 @@ def simhash_components(docs: DataFrame, words: int = 4, radius: int = 4) -> Data
     links of at most ``radius`` differing bits (null ids count last). Repeated rows
     give repeated rows; an empty table gives none.
     """
-    prints = stage(fingerprints(docs, words), "fingerprints")
-    distinct = stage(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
-    nodes = connected_components(near_links(distinct.select("fingerprint"), radius))
-    placed = distinct.join(nodes, F.col("fingerprint") == F.col("node"), "left").select(
-        F.col("fingerprint").alias("f"), F.coalesce("component", "fingerprint").alias("component"), "least"
-    )
-    lowest = placed.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_print = placed.select("f", "component").join(lowest, "component").select("f", "component_id")
-    return prints.join(by_print, F.col("fingerprint") == F.col("f")).select(
+    return _components(docs, words, radius).select(
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
 def keep_one(docs: DataFrame, words: int = 4, radius: int = 4) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that are the first of their component.
+    """One row of each component of ``docs``, with all its columns.
 
-    If rows repeat that id, one of those with the smallest fingerprint stays.
+    The row with the smallest doc_id stays (null ids count last); of rows that
+    repeat that id the one whose text has the smallest hash, so rows without an id
+    or with a repeated one are told apart by their texts. An empty table gives no
+    rows.
     """
-    found = simhash_components(docs, words, radius).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    first = found.select(F.col("component_id").alias("keep_id")).distinct()
-    kept = docs.join(first, F.col("doc_id").cast("long").eqNullSafe(F.col("keep_id")), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    first = _components(docs, words, radius).groupBy("component").agg(F.min(
+        F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"), "text_hash")
+    ).alias("first")).select("first.*").distinct()
+    row_id = F.col("doc_id").cast("long")
+    key = ["no_id", "id", "text_hash"]
+    rows = docs.select(
+        F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"), row_id.isNull().alias("no_id"),
+        F.coalesce(row_id, F.lit(0)).alias("id"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"),
+    )
+    return rows.join(first, key, "left_semi").dropDuplicates(key).select("row.*")

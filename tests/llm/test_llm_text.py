@@ -203,6 +203,22 @@ def test_simhash(spark, docs, odd, odd_rows, empty):
     assert kept.columns == docs.columns
 
 
+def test_simhash_keeps_one_row_of_each_component(spark):
+    words = [" ".join(f"{c}{i}" for i in range(60)) for c in "abcd"]
+    rows = [(None, words[0], 0), (None, words[0], 1), (None, words[1], 2), (5, words[2], 3), (5, words[3], 4), (6, words[3], 5),
+            (None, words[2], 6), (None, None, 7), (7, "", 8)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, `keep_id` long").selectExpr(
+        "*", "keep_id AS fingerprint", "keep_id AS component_id", "keep_id AS `odd name:<1>`", "keep_id AS row")
+    kept = simhash.keep_one(table)
+    assert kept.columns == table.columns
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(
+        [(None, words[0]), (None, words[1]), (5, words[2]), (5, words[3]), (7, "")])
+    assert simhash.keep_one(table.limit(0)).count() == 0
+    labels = spark.createDataFrame([(5, 1), (7, 0)], "doc_id long, quality int")
+    assert quality.keep_good(table, labels).columns == table.columns
+    assert exact_dedup.keep_first(table).columns == table.columns
+
+
 @pytest.mark.parametrize("group_rows", [simhash.GROUP_ROWS, 16])
 def test_links_of_crowded_fingerprints(spark, monkeypatch, group_rows):
     monkeypatch.setattr(simhash, "GROUP_ROWS", group_rows)
