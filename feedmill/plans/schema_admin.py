@@ -206,7 +206,9 @@ def add_column(store: Store, table: str, column: str, data_type: str, tpa: str,
         value = F.expr(dialect.to_spark(default)) if default else F.lit(None)
         rows = store.silver(table)
         if column.upper() not in [c.upper() for c in rows.columns]:
-            store.swap(table, rows.withColumn(column.upper(), value.cast(dialect.type_name(data_type))))
+            widened = rows.withColumn(column.upper(), value.cast(dialect.type_name(data_type)))
+            # only a default is written into the rows that are there
+            (store.swap if default else store.reshape)(table, widened)
     return f"Added column {column.upper()} to {table.upper()}"
 
 

@@ -138,6 +138,19 @@ class Store:
         fs.mkdirs(marker)
         self._finish_swap(table)
 
+    def reshape(self, table: str, rows: DataFrame) -> None:
+        """Replace the columns of a silver table by those of ``rows``, writing no data.
+
+        Files that lack a column read as NULL, so this suits added columns only.
+        """
+        beside = f"{self.path(table)}.next"
+        fs, stale = self._folder(beside)
+        fs.delete(stale, True)
+        columns = [c for c in rows.columns if c not in (ROW, BUCKET)]
+        rows.select(*columns, ROW, BUCKET).limit(0).write.parquet(f"{beside}/shape")
+        fs.mkdirs(self._folder(f"{beside}/ready")[1])
+        self._finish_swap(table)
+
     def _finish_swap(self, table: str) -> None:
         beside = f"{self.path(table)}.next"
         fs, marker = self._folder(f"{beside}/ready")

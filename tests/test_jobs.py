@@ -329,6 +329,12 @@ def test_schema_changes_keep_data(spark, landing, tmp_path):
     silver.transform_batch(store, "CLAIMS", DAY)
     schema_admin.add_column(store, "CLAIMS", "REGION", "VARCHAR(10)", "provider_a", now(), default="'north'")
     assert store.silver("CLAIMS").filter("REGION = 'north'").count() == 7
+    before = {r[0] for r in store.silver("CLAIMS").select("_metadata.file_path").distinct().collect()}
+    store.silver("CLAIMS").limit(0).write.parquet(f"{store.path('CLAIMS')}.next/data")  # of a switch cut off early
+    rows = store.silver("CLAIMS").count()
+    schema_admin.add_column(store, "CLAIMS", "EXTRA", "NUMBER(5,0)", "provider_a", now())
+    assert store.silver("CLAIMS").filter("EXTRA IS NULL").count() == rows > 0
+    assert {r[0] for r in store.silver("CLAIMS").select("_metadata.file_path").distinct().collect()} == before
     schema_admin.alter_column(store, "CLAIMS", "BILLED", now(), data_type="NUMBER(15,0)")
     assert dict(store.silver("CLAIMS").dtypes)["BILLED"] == "decimal(15,0)"
     schema_admin.drop_column(store, "CLAIMS", "REGION")
