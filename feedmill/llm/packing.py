@@ -1,9 +1,11 @@
 """Packing documents into token sequences by lexical retrieval.
 
-Documents are dealt into shards by the hash of their id. Each shard has its own
-BM25 inverted index over token ids. A seed document's rarest tokens are looked up
-in it, and the unused documents that score best follow the seed until the window
-is full. A document that crosses the end of the window is cut there; its rest
+Documents are dealt into shards by their content: a tree of hyperplanes, trained on
+a bounded sample of document sketches, keeps documents of like tokens together and
+shards equally large. Each shard has a BM25 inverted index over token ids, weighted
+by the document frequencies, number and mean length of all documents. A seed
+document's rarest tokens are looked up in it, and the unused documents that score
+best follow the seed until the window is full. A document that crosses the end of the window is cut there; its rest
 starts the next window and is that window's seed. Only the last window of a shard
 can stay open: it is split into sequences whose lengths are powers of two, which
 need no padding.
@@ -22,11 +24,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedmill.llm.words import id_and_text, ragged, slices, word_table
+from feedmill.session import stage
 
 WINDOW = 4096
 END = 2
 SHARD_BYTES = 8 << 20
 QUERY_TERMS = 24
+SKETCH = 64  # components of a document's sketch
+SKETCH_HASHES = 2  # components that a token adds to
+SAMPLE_ROWS = 1 << 18  # most sketches the tree is trained on
+ROWS_PER_SHARD = 16  # least sampled sketches per leaf of the tree
 K1, B = 1.2, 0.75
 WORD_END = "</w>"
 MARK = "\0"
@@ -98,10 +105,19 @@ def _byte_alphabet() -> list[str]:
     return [chr(b) if b in printable else chr(next(others)) for b in range(256)]
 
 
+def inverse_frequency(number: int, held: np.ndarray) -> np.ndarray:
+    """BM25 weight of tokens that ``held`` of ``number`` documents hold."""
+    return np.log1p((number - held + 0.5) / (held + 0.5))
+
+
 class ShardIndex:
-    """BM25 inverted index of one shard: postings by token, with the weight of each."""
+    """BM25 inverted index of one shard: postings by token, with the weight of each.
 
-    def __init__(self, ids: np.ndarray, bounds: np.ndarray):
+    ``idf`` by token and ``mean`` length are those of all documents; a shard that
+    holds all of them finds its own.
+    """
+
+    def __init__(self, ids: np.ndarray, bounds: np.ndarray, idf: np.ndarray | None = None, mean: float | None = None):
         sizes = np.diff(bounds)
         number = len(sizes)
         doc = np.repeat(np.arange(number), sizes)
@@ -109,8 +125,8 @@ class ShardIndex:
         token, self.docs = key // number, (key % number).astype(np.int32)
         self.tokens, first, held = np.unique(token, return_index=True, return_counts=True)
         self.bounds = np.append(first, len(key))
-        idf = np.log1p((number - held + 0.5) / (held + 0.5))
-        norm = K1 * (1 - B + B * sizes / max(sizes.mean(), 1))
+        idf = inverse_frequency(number, held) if idf is None else idf[self.tokens]
+        norm = K1 * (1 - B + B * sizes / max(sizes.mean() if mean is None else mean, 1))
         self.weights = (np.repeat(idf, held) * times * (K1 + 1) / (times + norm[self.docs])).astype(np.float32)
         self.held, self.number = held, number
 
@@ -123,9 +139,11 @@ class ShardIndex:
         return np.bincount(self.docs[at], self.weights[at], self.number)
 
 
-def reading_order(ids: np.ndarray, bounds: np.ndarray, window: int = WINDOW) -> Iterator[int]:
+def reading_order(
+    ids: np.ndarray, bounds: np.ndarray, window: int = WINDOW, idf: np.ndarray | None = None, mean: float | None = None
+) -> Iterator[int]:
     """Documents of a shard in the order in which they fill its windows."""
-    index, sizes = ShardIndex(ids, bounds), np.diff(bounds)
+    index, sizes = ShardIndex(ids, bounds, idf, mean), np.diff(bounds)
     unused = np.ones(len(sizes), bool)
     seed, filled, following = 0, 0, 0
     while True:
@@ -168,9 +186,66 @@ def cut_points(total: int, window: int = WINDOW) -> np.ndarray:
     return np.array(cuts, np.int64)
 
 
-def pack_shard(shard: int, doc_ids: pa.Array, ids: np.ndarray, bounds: np.ndarray, window: int = WINDOW) -> pa.Table:
+def sketches(ids: np.ndarray, bounds: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Unit vectors of SKETCH components; documents that share rare tokens point the same way."""
+    rng, number = np.random.default_rng(7), len(bounds) - 1
+    row = np.repeat(np.arange(number) * SKETCH, np.diff(bounds))
+    out = np.zeros(number * SKETCH)
+    for _ in range(SKETCH_HASHES):
+        column, sign = rng.integers(0, SKETCH, len(idf)), rng.choice([-1.0, 1.0], len(idf))
+        out += np.bincount(row + column[ids], (sign * idf ** 2)[ids], number * SKETCH)
+    out = out.reshape(number, SKETCH)
+    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
+
+
+class ShardTree:
+    """Hyperplanes that cut sketches into leaves of like documents and equal weight."""
+
+    def __init__(self, rows: np.ndarray, weights: np.ndarray, leaves: int):
+        """``leaves`` cuts of the weight, each across the direction in which its sketches differ most."""
+        self.axes, self.cuts, self.below = [], [], []
+        self._grow(rows, weights, 0, leaves)
+        self.axes, self.cuts, self.below = np.array(self.axes), np.array(self.cuts), np.array(self.below)
+
+    def _grow(self, rows: np.ndarray, weights: np.ndarray, first: int, last: int) -> int:
+        """Number of the node for leaves ``first`` to ``last``; a leaf is its own complement."""
+        if last - first == 1:
+            return ~first
+        middle, node = (first + last) // 2, len(self.cuts)
+        axis, cut, right = np.zeros(rows.shape[1]), 0.0, np.zeros(len(rows), bool)
+        if len(rows) > 1:
+            axis = np.linalg.eigh(np.cov(rows, rowvar=False))[1][:, -1]
+            along = rows @ axis
+            order = np.argsort(along, kind="stable")
+            sums = np.cumsum(weights[order])
+            at = int(np.searchsorted(sums, sums[-1] * (middle - first) / (last - first)))
+            # between two sketches, so that copies of one stay together
+            cut = along[order[min(at, len(order) - 2): min(at, len(order) - 2) + 2]].mean()
+            right = along > cut
+        self.axes.append(axis)
+        self.cuts.append(cut)
+        self.below.append((0, 0))
+        self.below[node] = (
+            self._grow(rows[~right], weights[~right], first, middle), self._grow(rows[right], weights[right], middle, last)
+        )
+        return node
+
+    def leaf(self, rows: np.ndarray) -> np.ndarray:
+        """Leaf of each row."""
+        node = np.full(len(rows), 0 if len(self.cuts) else ~0)
+        while (at := np.flatnonzero(node >= 0)).size:
+            inner = node[at]
+            right = np.einsum("ij,ij->i", rows[at], self.axes[inner]) > self.cuts[inner]
+            node[at] = self.below[inner, right.astype(int)]
+        return ~node
+
+
+def pack_shard(
+    shard: int, doc_ids: pa.Array, ids: np.ndarray, bounds: np.ndarray, window: int = WINDOW,
+    idf: np.ndarray | None = None, mean: float | None = None,
+) -> pa.Table:
     """Pieces of all documents of one shard."""
-    order = np.fromiter(reading_order(ids, bounds, window), np.int64, len(bounds) - 1)
+    order = np.fromiter(reading_order(ids, bounds, window, idf, mean), np.int64, len(bounds) - 1)
     sizes = np.diff(bounds)[order]
     begins = np.cumsum(sizes) - sizes
     cuts = cut_points(int(sizes.sum()), window)
@@ -188,6 +263,65 @@ def pack_shard(shard: int, doc_ids: pa.Array, ids: np.ndarray, bounds: np.ndarra
     })
 
 
+def _token_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Encoded rows in bounded slices: (rows, ids of all, where each begins and ends)."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column("ids")).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < batch.num_rows:
+            stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + SHARD_BYTES, "right")))
+            rows = batch.slice(start, stop - start)
+            widths = rows.column("width").to_numpy()
+            parts = [np.frombuffer(b, f"<u{w}").astype(np.int64) for b, w in zip(rows.column("ids").to_pylist(), widths)]
+            yield rows, np.concatenate(parts), np.concatenate(([0], np.cumsum([len(p) for p in parts])))
+            start = stop
+
+
+def corpus_statistics(encoded: DataFrame, end: int = END) -> tuple[int, int, np.ndarray]:
+    """(documents, tokens, inverse document frequency by token) of all encoded documents, end tokens included."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(0, np.int64)
+        for _, ids, bounds in _token_ids(batches):
+            number = len(bounds) - 1
+            tokens = np.unique(ids * number + np.repeat(np.arange(number), np.diff(bounds))) // number
+            found = np.bincount(tokens, minlength=len(held))
+            found[: len(held)] += held
+            held = found
+        at = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(held[at])], names=["token", "held"])
+
+    length = F.coalesce(F.sum(F.octet_length("ids") / F.col("width")).cast("long"), F.lit(0))
+    number, tokens = encoded.agg(F.count(F.lit(1)), length).first()
+    # one row per entry of the vocabulary at most
+    found = encoded.mapInArrow(count, "token long, held long").groupBy("token").agg(F.sum("held").alias("held")).toArrow()
+    token = found.column("token").to_numpy()
+    held = np.zeros(max(token.max(initial=0), end) + 1)
+    held[token] = found.column("held").to_numpy()
+    held[end] = number
+    return number, tokens + number, inverse_frequency(number, held)
+
+
+def shard_tree(encoded: DataFrame, number: int, idf: np.ndarray, shards: int) -> ShardTree:
+    """Tree with a leaf per shard, trained on documents whose hash is small, at most about SAMPLE_ROWS."""
+    if shards == 1:
+        return ShardTree(np.zeros((0, SKETCH)), np.zeros(0), 1)
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, ids, bounds in _token_ids(batches):
+            flat = pa.array(sketches(ids, bounds, idf).astype(np.float32).ravel())
+            yield pa.RecordBatch.from_arrays([
+                rows.column("code"), pa.array(np.diff(bounds) + 1), pa.FixedSizeListArray.from_arrays(flat, SKETCH).cast(pa.list_(pa.float32())),
+            ], names=["code", "tokens", "sketch"])
+
+    share = int(min(1.0, SAMPLE_ROWS / max(number, 1)) * (1 << 30))
+    sample = encoded.where(F.pmod("code", F.lit(1 << 30)) < share).mapInArrow(
+        sketch, "code long, tokens long, sketch array<float>"
+    ).toArrow().sort_by([("code", "ascending"), ("tokens", "ascending")])
+    rows = sample.column("sketch").combine_chunks().flatten().to_numpy().reshape(-1, SKETCH).astype(np.float64)
+    return ShardTree(rows, sample.column("tokens").to_numpy(), min(shards, max(1, len(rows) // ROWS_PER_SHARD)))
+
+
 def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end: int = END) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id and offset of every piece.
 
@@ -195,13 +329,13 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end: int =
     Each id lies in exactly one piece. Sequences hold ``window`` tokens; at the end
     of a shard they are shorter, each a power of two. A null id is packed like any
     other, repeated rows are packed each; an empty table gives no rows. Shards hold
-    about SHARD_BYTES of text whatever the size of the table, because documents are
-    spread by the hash of their id and their text.
+    about SHARD_BYTES of text whatever the size of the table: the tree has a leaf for
+    each, and a leaf that holds more than twice its share, such as many copies, is
+    spread by the hash of id and text.
     """
     texts = id_and_text(docs)
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     shards = max(1, -(-size // SHARD_BYTES))
-    keyed = texts.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = WordTokenizer(tokenizer_path)
@@ -210,19 +344,49 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end: int =
             kind = "<u2" if len(ids) == 0 or ids.max() < 1 << 16 else "<u4"
             ids = ids.astype(kind)
             yield pa.RecordBatch.from_arrays([
-                part.column("shard"), part.column("doc_id"), pa.array([np.dtype(kind).itemsize] * part.num_rows, pa.int32()),
+                part.column("code"), part.column("doc_id"), pa.array([np.dtype(kind).itemsize] * part.num_rows, pa.int32()),
                 pa.array([ids[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])], pa.binary()),
-            ], names=["shard", "doc_id", "width", "ids"])
+            ], names=["code", "doc_id", "width", "ids"])
+
+    encoded = stage(texts.withColumn("code", F.xxhash64("doc_id", "text")).mapInArrow(
+        encode, "code long, doc_id long, width int, ids binary"), "token-ids")
+    number, tokens, idf = corpus_statistics(encoded, end)
+    tree = shard_tree(encoded, number, idf, shards)
+    mean, shared = tokens / max(number, 1), texts.sparkSession.sparkContext.broadcast((idf, tree))
+
+    def deal(parts: np.ndarray):
+        """Rows with their shard; a leaf has as many shards as ``parts`` says."""
+        before = np.cumsum(parts) - parts
+
+        def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            idf, tree = shared.value
+            for rows, ids, bounds in _token_ids(batches):
+                leaf = tree.leaf(sketches(ids, bounds, idf)) if len(tree.cuts) else np.zeros(rows.num_rows, np.int64)
+                shard = before[leaf] + rows.column("code").to_numpy() % parts[leaf]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(shard, pa.int32()), *rows.columns[1:]], names=["shard", *rows.schema.names[1:]]
+                )
+
+        return encoded.mapInArrow(place, "shard int, doc_id long, width int, ids binary")
+
+    # the tree has at most SAMPLE_ROWS / ROWS_PER_SHARD leaves
+    parts = np.ones(len(tree.cuts) + 1, np.int64)
+    if shards > 1:
+        length = (F.octet_length("ids") / F.col("width") + 1).cast("long")
+        for leaf, held in deal(parts).groupBy("shard").agg(F.sum(length)).collect():
+            parts[leaf] = 1 if held * shards <= 2 * tokens else -(-held * shards // tokens)
+    keyed = deal(parts)
 
     def fill(table: pa.Table) -> pa.Table:
+        idf, _ = shared.value
         table = table.sort_by([("doc_id", "ascending"), ("ids", "ascending")])
         widths = table.column("width").to_numpy()
         parts = [np.append(np.frombuffer(b, f"<u{w}"), np.uint32(end)).astype(np.uint32)
                  for b, w in zip(table.column("ids").to_pylist(), widths)]
         bounds = np.concatenate(([0], np.cumsum([len(p) for p in parts])))
         return pack_shard(
-            table.column("shard")[0].as_py(), table.column("doc_id").combine_chunks(), np.concatenate(parts), bounds, window
+            table.column("shard")[0].as_py(), table.column("doc_id").combine_chunks(), np.concatenate(parts), bounds,
+            window, idf, mean,
         )
 
-    encoded = keyed.mapInArrow(encode, "shard int, doc_id long, width int, ids binary")
-    return encoded.groupBy("shard").applyInArrow(fill, _PIECE)
+    return keyed.groupBy("shard").applyInArrow(fill, _PIECE)

@@ -422,3 +422,34 @@ def test_packing_follows_related_documents():
     order = list(packing.reading_order(np.concatenate(parts), bounds, 2400))
     assert sorted(order) == list(range(120))
     assert sum(topics[a] == topics[b] for a, b in zip(order, order[1:])) > 90
+
+
+def test_packing_deals_related_documents_to_one_shard(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    words = [a + b for a in ("ba", "ko", "mi", "ru", "te", "so", "la", "ne", "fu", "di") for b in ("rak", "lin", "mot", "sup", "ved", "gor", "hal", "nix", "pum", "zet")]
+    own = rng.permutation(words)[:96].reshape(8, 12)
+    common = [w for w in words if w not in set(own.ravel().tolist())] + ["the", "and", "of", "to", "in", "is", "it"]
+    topics = rng.integers(0, 8, 400)
+    rows = [(i, " ".join(rng.permutation([*rng.choice(own[t], 20), *rng.choice(common, 10)]))) for i, t in enumerate(topics.tolist())]
+    monkeypatch.setattr(packing, "SHARD_BYTES", sum(len(x) for _, x in rows) // 8)
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    shards = defaultdict(set)
+    for p in packing.pack(table, tokenizer_file("word_bpe_49k.json")).collect():
+        shards[p["sequence_id"] >> 32].add(p["doc_id"])
+    assert len(shards) >= 8 and sum(map(len, shards.values())) == 400
+    same = sum(max(np.bincount(topics[list(d)])) for d in shards.values())
+    # dealt by chance, a shard holds each topic about equally often
+    assert same > 240
+
+
+def test_packing_weighs_tokens_by_all_documents(spark):
+    ids, bounds = np.array([0, 1, 0, 2, 1, 2]), np.array([0, 2, 4, 6])
+    idf = packing.inverse_frequency(1000, np.array([1.0, 500.0, 900.0]))
+    score = packing.ShardIndex(ids, bounds, idf, 2.0).scores(np.array([0, 1]))
+    assert score[1] > 2 * score[2] > 0
+    rows = [(i, "alpha beta" if i % 2 else "alpha gamma delta") for i in range(10)]
+    encoded = [(i, i, 2, np.array([5, 6] if i % 2 else [5, 7, 7], "<u2").tobytes()) for i, _ in rows]
+    table = spark.createDataFrame(encoded, "code long, doc_id long, width int, ids binary").repartition(3)
+    number, tokens, found = packing.corpus_statistics(table)
+    assert (number, tokens) == (10, 35)
+    assert np.allclose(found[[5, 6, 7]], packing.inverse_frequency(10, np.array([10, 5, 5])))
