@@ -88,10 +88,13 @@ def nearest_lists(rows: np.ndarray, centroids: np.ndarray, number: int) -> np.nd
     return np.concatenate(out) if out else np.zeros((0, number), np.int64)
 
 
-def needed_probes(sample: np.ndarray, centroids: np.ndarray, most: int, recall: float) -> int:
-    """Lists to probe so that ``recall`` of the sampled neighbours of sampled rows lie in them."""
-    asked = sample[:256]
-    far = ((sample ** 2).sum(axis=1)[None, :] - 2 * asked @ sample.T)
+def needed_probes(sample: np.ndarray, asked: np.ndarray, centroids: np.ndarray, most: int, recall: float) -> int:
+    """Lists to probe so that ``recall`` of the sampled neighbours of queries lie in them.
+
+    ``asked`` are the first sampled rows as query points; all sampled rows are equally
+    long, so the largest inner products are the nearest.
+    """
+    far = -(asked @ sample.T)
     far[np.arange(len(asked)), np.arange(len(asked))] = np.inf
     near = np.argsort(far, axis=1, kind="stable")[:, : min(most, len(sample) - 1)]
     if not near.size:
@@ -159,12 +162,17 @@ def nearest_by_inner_product(
         rest = np.sqrt(np.maximum(longest - (rows ** 2).sum(axis=1), 0))
         return np.column_stack([rows, rest])
 
+    def as_query(rows: np.ndarray) -> np.ndarray:
+        """Rows at the length of the lifted ones, without a part in the last component."""
+        length = np.sqrt(longest / np.maximum((rows ** 2).sum(axis=1), 1e-300))
+        return np.column_stack([rows * length[:, None], np.zeros(len(rows))])
+
     rng = np.random.default_rng(3)
     rotation = np.linalg.qr(rng.standard_normal((width + 1, width + 1)))[0]
     original = _matrix(sample.column("v").combine_chunks(), width)
     sampled = lifted(original) @ rotation
     centroids = train_lists(sampled, lists)
-    probes = needed_probes(sampled, centroids, most, recall)
+    probes = needed_probes(sampled, as_query(original[:256]) @ rotation, centroids, most, recall)
     shared = spark.sparkContext.broadcast((rotation, centroids, sampled[:BOUND_ROWS].astype(np.float32)))
     known_rows = spark.sparkContext.broadcast(
         (sample.column("rep").to_numpy()[:BOUND_ROWS], original[:BOUND_ROWS].astype(np.float32))
@@ -186,8 +194,7 @@ def nearest_by_inner_product(
             for start in range(0, whole.num_rows, 256):
                 batch = whole.slice(start, 256)
                 rows = _matrix(batch.column("v"), width)
-                rows *= np.sqrt(longest / np.maximum((rows ** 2).sum(axis=1), 1e-300))[:, None]
-                turned = np.column_stack([rows, np.zeros(len(rows))]) @ rotation
+                turned = as_query(rows) @ rotation
                 bound = np.full(len(rows), np.inf)
                 if len(known) > most:
                     far = squares[None, :] - 2 * turned.astype(np.float32) @ known.T
@@ -249,8 +256,7 @@ def nearest_by_inner_product(
         turned = (lifted(rows) @ rotation).T.astype(np.float32)
         blocks = [np.ascontiguousarray(turned[a: a + COLUMNS]) for a in range(0, width + 1, COLUMNS)]
         asked = _matrix(queries.column("v").combine_chunks(), width)
-        length = np.sqrt(longest / np.maximum((asked ** 2).sum(axis=1), 1e-300))
-        points = (np.column_stack([asked * length[:, None], np.zeros(len(asked))]) @ rotation).astype(np.float32)
+        points = (as_query(asked) @ rotation).astype(np.float32)
         wanted = min(most + 1, len(ids))
         out = []
         # the bounds were computed in single precision

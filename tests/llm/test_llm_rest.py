@@ -40,6 +40,25 @@ def test_nearest_neighbours_recall(spark):
     assert hits / sum(map(len, want.values())) >= 0.9
 
 
+def test_probes_are_measured_with_queries(spark):
+    rng = np.random.default_rng(6)
+    middles = rng.standard_normal((150, 32))
+    rows = middles[rng.integers(0, 150, 6000)] + 0.5 * rng.standard_normal((6000, 32))
+    rows *= (rng.lognormal(0, 1, 6000) / np.linalg.norm(rows, axis=1))[:, None]
+    longest = (rows ** 2).sum(axis=1).max()
+    lifted = np.column_stack([rows, np.sqrt(np.maximum(longest - (rows ** 2).sum(axis=1), 0))])
+    points = np.column_stack([rows * np.sqrt(longest / (rows ** 2).sum(axis=1))[:, None], np.zeros(6000)])
+    centroids = ann.train_lists(lifted[:3000], 77)
+    probes = ann.needed_probes(lifted[:3000], points[:256], centroids, 20, 0.96)
+    held_by = ann.nearest_lists(lifted, centroids, 1)[:, 0]
+    hits = 0
+    for q in range(5000, 5200):
+        score = rows @ rows[q]
+        score[q] = -np.inf
+        hits += np.isin(held_by[np.argsort(-score)[:20]], ann.nearest_lists(points[q: q + 1], centroids, probes)[0]).sum()
+    assert hits / 4000 >= 0.9
+
+
 def test_nearest_neighbours_odd_rows(spark):
     rng = np.random.default_rng(0)
     rows = [(i, [float(x) for x in rng.standard_normal(8) * (1 + i % 3)]) for i in range(60)]
