@@ -11,7 +11,9 @@ original vectors.
 
 How many lists a query probes is measured: as many as hold the wanted share of the
 nearest neighbours that sampled vectors have in the sample. The sample also bounds
-each query's k-th best distance from above before any list is read.
+each query's k-th best distance from above before any list is read; answers come from
+the probed lists alone. A query that finds too few there is asked again with twice as
+many lists, at last with all of them and without a bound.
 """
 
 from __future__ import annotations
@@ -174,9 +176,6 @@ def nearest_by_inner_product(
     centroids = train_lists(sampled, lists)
     probes = needed_probes(sampled, as_query(original[:256]) @ rotation, centroids, most, recall)
     shared = spark.sparkContext.broadcast((rotation, centroids, sampled[:BOUND_ROWS].astype(np.float32)))
-    known_rows = spark.sparkContext.broadcast(
-        (sample.column("rep").to_numpy()[:BOUND_ROWS], original[:BOUND_ROWS].astype(np.float32))
-    )
 
     def place(batches):
         rotation, centroids, _ = shared.value
@@ -187,38 +186,27 @@ def nearest_by_inner_product(
                 [batch.column("rep"), batch.column("v"), pa.array(near, pa.int32())], names=["rep", "v", "list"]
             )
 
-    def probe(batches):
-        rotation, centroids, known = shared.value
-        squares = (known ** 2).sum(axis=1)
-        for whole in batches:
-            for start in range(0, whole.num_rows, 256):
-                batch = whole.slice(start, 256)
-                rows = _matrix(batch.column("v"), width)
-                turned = as_query(rows) @ rotation
-                bound = np.full(len(rows), np.inf)
-                if len(known) > most:
-                    far = squares[None, :] - 2 * turned.astype(np.float32) @ known.T
-                    bound = np.partition(far, most, axis=1)[:, most] + longest
-                near = nearest_lists(turned, centroids, probes)
-                each = pa.array(np.repeat(np.arange(len(rows)), near.shape[1]))
-                yield pa.RecordBatch.from_arrays([
-                    batch.column("rep").take(each), batch.column("v").take(each), pa.array(near.ravel(), pa.int32()),
-                    pa.array(bound.astype(np.float64)).take(each),
-                ], names=["rep", "v", "list", "bound"])
-
-    def sampled_answers(batches):
-        """The nearest sampled vectors: with them a query finds ``most`` whatever its lists hold."""
-        ids, known = known_rows.value
-        wanted = min(most + 1, len(ids))
-        for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                rows = _matrix(batch.slice(start, 256).column("v"), width)
-                near = np.argpartition(-(rows.astype(np.float32) @ known.T), wanted - 1, axis=1)[:, :wanted]
-                score = np.einsum("qkd,qd->qk", known[near].astype(np.float64), rows)
-                own = batch.slice(start, 256).column("rep").take(pa.array(np.repeat(np.arange(len(rows)), wanted)))
-                yield pa.RecordBatch.from_arrays(
-                    [own, pa.array(ids[near].ravel()), pa.array(score.ravel())], names=["query", "rep", "score"]
-                )
+    def probe(probes: int, bounded: bool):
+        def lists_of(batches):
+            rotation, centroids, known = shared.value
+            squares = (known ** 2).sum(axis=1)
+            for whole in batches:
+                for start in range(0, whole.num_rows, 256):
+                    batch = whole.slice(start, 256)
+                    rows = _matrix(batch.column("v"), width)
+                    turned = as_query(rows) @ rotation
+                    bound = np.full(len(rows), np.inf)
+                    if bounded and len(known) > most:
+                        far = squares[None, :] - 2 * turned.astype(np.float32) @ known.T
+                        bound = np.partition(far, most, axis=1)[:, most] + longest
+                    near = nearest_lists(turned, centroids, probes)
+                    each = pa.array(np.repeat(np.arange(len(rows)), near.shape[1]))
+                    yield pa.RecordBatch.from_arrays([
+                        batch.column("rep").take(each), batch.column("v").take(each), pa.array(near.ravel(), pa.int32()),
+                        pa.array(bound.astype(np.float64)).take(each),
+                    ], names=["rep", "v", "list", "bound"])
+
+        return lists_of
 
     kind = "rep long, v array<float>, list int"
     placed = reps.select("rep", "v").mapInArrow(place, kind)
@@ -228,13 +216,10 @@ def nearest_by_inner_product(
         .join(reps.select("v", "rep"), F.col("qv") == F.col("v")).select("query_id", "rep", "v"), "queries",
     )
     distinct_queries = asking.dropDuplicates(["rep"]).select("rep", "v")
-    probed = stage(distinct_queries.mapInArrow(probe, kind + ", bound double"), "probed-lists")
     sizes = placed.groupBy("list").count().select("list", F.ceil(F.col("count") / PART_ROWS).cast("int").alias("parts"))
-    asked = probed.groupBy("list").count().select("list", F.ceil(F.col("count") / QUERY_ROWS).cast("int").alias("askers"))
-    # at most LISTS_MOST rows
-    plan = F.broadcast(stage(sizes.join(asked, "list"), "list-parts"))
+    sizes = stage(sizes, "list-sizes")
 
-    def spread(rows: DataFrame, own: str, other: str, name: str, other_name: str) -> DataFrame:
+    def spread(rows: DataFrame, plan: DataFrame, own: str, other: str, name: str, other_name: str) -> DataFrame:
         """Each row in the one part its hash names, met by every part of the other side."""
         return (
             rows.join(plan, "list").withColumn(name, F.pmod(F.xxhash64("rep"), F.col(own)).cast("int"))
@@ -242,9 +227,6 @@ def nearest_by_inner_product(
             .select("list", "part", "asker", *[c for c in rows.columns if c != "list"])
         )
 
-    left = spread(placed, "parts", "askers", "part", "asker")
-    right = spread(probed, "askers", "parts", "asker", "part")
-
     def search(candidates: pa.Table, queries: pa.Table) -> pa.Table:
         if not candidates.num_rows or not queries.num_rows:
             return pa.table({"query": pa.array([], pa.int64()), "rep": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
@@ -271,14 +253,34 @@ def nearest_by_inner_product(
             out.append((np.full(len(best), own), ids[found[best]], score[best]))
         return pa.table(dict(zip(("query", "rep", "score"), map(np.concatenate, zip(*out)))))
 
-    found = left.groupBy("list", "part", "asker").cogroup(right.groupBy("list", "part", "asker")).applyInArrow(
-        search, "query long, rep long, score double"
-    )
-    known = distinct_queries.mapInArrow(sampled_answers, "query long, rep long, score double")
-    found = found.unionAll(known).groupBy("query", "rep").agg(F.max("score").alias("score"))
-    best = Window.partitionBy("query").orderBy(F.desc("score"), "rep")
-    top = found.withColumn("place", F.row_number().over(best)).where(F.col("place") <= most + 1)
-    listed = top.join(reps.select(F.col("rep").alias("r"), "ids"), F.col("rep") == F.col("r")).select(
+    def answered(queries: DataFrame, probes: int, bounded: bool) -> DataFrame:
+        """What each query finds in its nearest ``probes`` lists."""
+        probed = stage(queries.mapInArrow(probe(probes, bounded), kind + ", bound double"), "probed-lists")
+        asked = probed.groupBy("list").count().select("list", F.ceil(F.col("count") / QUERY_ROWS).cast("int").alias("askers"))
+        # at most LISTS_MOST rows
+        plan = F.broadcast(stage(sizes.join(asked, "list"), "list-parts"))
+        left = spread(placed, plan, "parts", "askers", "part", "asker")
+        right = spread(probed, plan, "askers", "parts", "asker", "part")
+        hits = left.groupBy("list", "part", "asker").cogroup(right.groupBy("list", "part", "asker")).applyInArrow(
+            search, "query long, rep long, score double"
+        )
+        by_score = Window.partitionBy("query").orderBy(F.desc("score"), "rep")
+        top = hits.withColumn("place", F.row_number().over(by_score)).where(F.col("place") <= most + 1)
+        return stage(top.drop("place"), "answers")
+
+    # a query is one of the candidates
+    enough = min(most + 1, number)
+    found, bounded = answered(distinct_queries, probes, True), True
+    while probes < lists or bounded:
+        full = found.groupBy("query").count().where(F.col("count") >= enough)
+        short = stage(distinct_queries.join(full, F.col("rep") == F.col("query"), "left_anti"), "short-queries")
+        if short.isEmpty():
+            break
+        bounded = probes < lists and 2 * probes < lists
+        probes = min(2 * probes, lists)
+        again = answered(short, probes, bounded)
+        found = found.join(short.select(F.col("rep").alias("query")), "query", "left_anti").unionByName(again)
+    listed = found.join(reps.select(F.col("rep").alias("r"), "ids"), F.col("rep") == F.col("r")).select(
         "query", "score", F.explode("ids").alias("vec_id")
     )
     by_query = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")

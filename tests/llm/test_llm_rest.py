@@ -59,6 +59,35 @@ def test_probes_are_measured_with_queries(spark):
     assert hits / 4000 >= 0.9
 
 
+@pytest.mark.parametrize("spread", [0.0, 0.8])
+def test_answers_come_from_the_probed_lists(spark, monkeypatch, spread):
+    rng = np.random.default_rng(8)
+    middles = rng.standard_normal((40, 16))
+    rows = middles[rng.integers(0, 40, 3000)] + 0.4 * rng.standard_normal((3000, 16))
+    rows *= (rng.lognormal(0, spread, 3000) / np.linalg.norm(rows, axis=1))[:, None]
+    rows = rows.astype(np.float32).astype(float)
+    table = spark.createDataFrame([(i, v) for i, v in enumerate(rows.tolist())], "vec_id long, embedding array<double>")
+    want = exact_neighbours(list(enumerate(rows.tolist())))
+
+    # the sample is a small part of the table
+    monkeypatch.setattr(ann, "SAMPLE_PER_LIST", 10)
+    got = {}
+    for r in ann.nearest_by_inner_product(table).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert got.keys() == want.keys() and all(len(v) == 20 for v in got.values())
+    hits = sum(len(got[q] & {i for i, _ in want[q]}) for q in want) / sum(map(len, want.values()))
+    print("recall", spread, hits)
+    assert hits >= 0.9
+
+
+def test_the_sample_gives_no_answers(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    rows = [(i, v) for i, v in enumerate(rng.standard_normal((200, 8)).tolist())]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    monkeypatch.setattr(ann, "scan", lambda *a: (np.zeros(0, np.int64), np.zeros(0)))
+    assert ann.nearest_by_inner_product(table).count() == 0
+
+
 def test_nearest_neighbours_odd_rows(spark):
     rng = np.random.default_rng(0)
     rows = [(i, [float(x) for x in rng.standard_normal(8) * (1 + i % 3)]) for i in range(60)]
