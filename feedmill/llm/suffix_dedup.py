@@ -12,6 +12,10 @@ significant digit first, and stops at ``depth`` bytes:
    or with one surrounding only, are done. Copies end here, without their bytes.
 2. the rest is sorted byte by byte, to the right and to the left of the anchor.
    Windows of equal digits on both sides are exactly the repeated ones.
+
+An anchor with very many occurrences meets in no bucket. Its windows are keyed by a
+128-bit hash instead; a slice of text marks all but its first window of each key and
+sends that one on, so the rows of a key are at most as many as the slices.
 """
 
 from __future__ import annotations
@@ -31,6 +35,9 @@ DEPTH = 100
 GRAM = 24
 CHUNK = 1 << 20
 BUCKET_BYTES = 16 << 20  # of text per bucket of anchors
+HOT = 1 << 16  # occurrences of an anchor from which on it meets in no bucket
+COUNTED = 16  # one of so many shorter documents is counted to find them
+COUNT_ALL = 1 << 16  # bytes from which on a document is always counted
 LAST_DOC = (1 << 63) - 1
 
 _C = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -195,8 +202,102 @@ def _keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-def _anchor_buckets(texts: DataFrame, buckets: int, depth: int) -> DataFrame:
-    """Anchors of all texts, packed by bucket."""
+def _window_hashes(data: np.ndarray, starts: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent hashes of the ``depth`` bytes from each start."""
+    lanes = np.ndarray((len(data) - 7,), "<u8", np.ascontiguousarray(data), strides=(1,))
+    one, two = np.full(len(starts), _C[0]), np.full(len(starts), _C[3])
+    for at in [*range(0, depth - 8, 8), depth - 8]:
+        lane = lanes[starts + at]
+        one = (one ^ lane) * _C[1]
+        one ^= one >> np.uint64(29)
+        two = (two + lane) * _C[2]
+        two ^= two >> np.uint64(32)
+    return (one * _C[2]).view(np.int64), (two * _C[1]).view(np.int64)
+
+
+def hot_anchors(texts: DataFrame, depth: int) -> np.ndarray:
+    """Hashes of the anchors with about HOT occurrences or more, in order.
+
+    They are estimated from some documents: where an anchor is sorted decides on
+    memory only, not on the result.
+    """
+    long_text = F.octet_length("text") >= COUNT_ALL
+    counted = texts.withColumn("weight", F.when(long_text, 1).otherwise(COUNTED)).where(
+        long_text | (F.pmod(F.xxhash64("doc", "hash"), F.lit(COUNTED)) == 0)
+    )
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, strings in slices(batches):
+            data, bounds = utf8(strings)
+            if len(data) < depth:
+                continue
+            at, code = anchors(data, bounds, depth)
+            weight = part.column("weight").to_numpy()[np.searchsorted(bounds, at, "right") - 1]
+            distinct, where = np.unique(code, return_inverse=True)
+            held = np.bincount(where, weight, len(distinct)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), pa.array(held)], names=["code", "held"])
+
+    held = counted.mapInArrow(count, "code long, held long").groupBy("code").agg(F.sum("held").alias("held"))
+    # HOT // 2, as a count may come out low; there are at most (all anchors) / (HOT // 2) of them
+    found = held.where(F.col("held") >= HOT // 2).select("code").toArrow().column("code").to_numpy()
+    return np.sort(found.view(np.uint64))
+
+
+def _hot_windows(texts: DataFrame, hot: np.ndarray, depth: int) -> DataFrame:
+    """Marks of the repeated windows around hot anchors."""
+    reach = depth - GRAM
+
+    def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, strings in slices(batches):
+            data, bounds = utf8(strings)
+            if len(data) < depth:
+                continue
+            at, code = anchors(data, bounds, depth)
+            at = at[np.isin(code, hot)]
+            of = np.searchsorted(bounds, at, "right") - 1
+            first, last = np.maximum(at - reach, bounds[of]), np.minimum(at, bounds[of + 1] - depth)
+            steps = np.bincount(first, minlength=len(data) + 1) - np.bincount(last + 1, minlength=len(data) + 1)
+            starts = np.flatnonzero(np.cumsum(steps) > 0)
+            if not len(starts):
+                continue
+            of = np.searchsorted(bounds, starts, "right") - 1
+            doc = part.column("doc").to_numpy(zero_copy_only=False)[of]
+            text_hash = part.column("hash").to_numpy(zero_copy_only=False)[of]
+            pos = starts - bounds[of]
+            one, two = _window_hashes(data, starts, depth)
+            order = np.lexsort([pos, text_hash, doc, two, one])
+            new = np.ones(len(order), bool)
+            new[1:] = (one[order[1:]] != one[order[:-1]]) | (two[order[1:]] != two[order[:-1]])
+            lead = np.empty_like(order)
+            lead[order] = order[np.flatnonzero(new)[np.cumsum(new) - 1]]
+            first = order[new]
+            # one row for all windows in a row that are repeated
+            later = np.flatnonzero((doc != doc[lead]) | (text_hash != text_hash[lead]) | (pos != pos[lead]))
+            breaks = np.flatnonzero((np.diff(starts[later]) != 1) | (np.diff(of[later]) != 0)) + 1
+            from_, to = later[[0, *breaks][: len(later)]], later[[*(breaks - 1), len(later) - 1][: len(later)]]
+            rows, ends = np.concatenate([first, from_]), np.concatenate([first, to])
+            repeated = np.arange(len(rows)) >= len(first)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(one[rows]), pa.array(two[rows]), pa.array(doc[rows]), pa.array(text_hash[rows], pa.int32()),
+                pa.array(pos[rows], pa.int32()), pa.array(pos[ends] + depth, pa.int32()), pa.array(repeated),
+            ], names=["one", "two", "doc", "hash", "start", "stop", "later"])
+
+    keyed = texts.mapInArrow(key, "one long, two long, doc long, hash int, start int, stop int, later boolean")
+    keyed = stage(keyed, "hot-windows")
+    place = F.struct("doc", "hash", "start")
+    firsts = keyed.where(~F.col("later")).groupBy("one", "two").agg(F.array_sort(F.collect_set(place)).alias("places"))
+    across = firsts.where(F.size("places") > 1).select(
+        F.explode(F.slice("places", 2, F.size("places"))).alias("p")
+    ).select("p.*", (F.col("p.start") + depth).cast("int").alias("stop"))
+    found = keyed.where("later").select("doc", "hash", "start", "stop").unionAll(across)
+    return found.select(
+        "doc", "hash", "start", "stop",
+        F.lit(None).cast("int").alias("bucket"), F.lit(None).cast("long").alias("anchor"),
+    )
+
+
+def _anchor_buckets(texts: DataFrame, buckets: int, depth: int, hot: np.ndarray) -> DataFrame:
+    """Anchors of all texts but the hot ones, packed by bucket."""
     names = [c for c, _ in _ENTRY]
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,6 +306,8 @@ def _anchor_buckets(texts: DataFrame, buckets: int, depth: int) -> DataFrame:
             if len(data) < depth:
                 continue
             at, code = anchors(data, bounds, depth)
+            cold = ~np.isin(code, hot)
+            at, code = at[cold], code[cold]
             if not len(at):
                 continue
             of = np.searchsorted(bounds, at, "right") - 1
@@ -283,9 +386,13 @@ def remove_repeats(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     texts = _keyed(docs)
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     buckets = max(16, size // BUCKET_BYTES)
-    first = stage(_first_digit(_anchor_buckets(texts, buckets, depth)), "anchor-marks")
+    hot = hot_anchors(texts, depth)
+    first = stage(_first_digit(_anchor_buckets(texts, buckets, depth, hot)), "anchor-marks")
     rest = _other_digits(texts, first.where(F.col("bucket").isNotNull()), depth)
-    marks = first.where(F.col("bucket").isNull()).unionAll(rest).groupBy("doc", "hash").agg(
+    found = first.where(F.col("bucket").isNull()).unionAll(rest)
+    if len(hot):
+        found = found.unionAll(_hot_windows(texts, hot, depth))
+    marks = found.groupBy("doc", "hash").agg(
         F.collect_list(F.struct("start", "stop")).alias("marks")
     )
 

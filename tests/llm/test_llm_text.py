@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 import xxhash
 from pyspark.sql import types as T
 
@@ -453,3 +454,23 @@ def test_packing_weighs_tokens_by_all_documents(spark):
     number, tokens, found = packing.corpus_statistics(table)
     assert (number, tokens) == (10, 35)
     assert np.allclose(found[[5, 6, 7]], packing.inverse_frequency(10, np.array([10, 5, 5])))
+
+
+def test_hot_anchors_meet_in_no_bucket(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    phrase = bytes(rng.integers(97, 123, 130)).decode()
+    rows = [(i, bytes(rng.integers(97, 123, 150)).decode() + phrase + bytes(rng.integers(97, 123, 90)).decode()) for i in range(300)]
+    rows += [(i, rows[i - 300][1]) for i in range(300, 320)] + [(5, rows[5][1]), (400, phrase * 6), (None, phrase)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    plain = sorted(suffix_dedup.remove_repeats(table).collect(), key=str)
+    monkeypatch.setattr(suffix_dedup, "HOT", 100)
+    monkeypatch.setattr(suffix_dedup, "COUNTED", 1)
+    texts = suffix_dedup._keyed(table)
+    hot = suffix_dedup.hot_anchors(texts, suffix_dedup.DEPTH)
+    assert len(hot)
+    largest = 0
+    for r in suffix_dedup._anchor_buckets(texts, 1, suffix_dedup.DEPTH, hot).groupBy("bucket").agg(F.collect_list("anchor").alias("a")).collect():
+        largest = max(largest, np.unique(np.frombuffer(b"".join(map(bytes, r["a"])), "<u4"), return_counts=True)[1].max())
+    assert largest < 100
+    assert sorted(suffix_dedup.remove_repeats(table).collect(), key=str) == plain
+    assert sum(r["n_removed"] for r in plain) > 300 * 100
