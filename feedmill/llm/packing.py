@@ -4,8 +4,8 @@ Documents are dealt into shards by their content: a tree of hyperplanes, trained
 a bounded sample of document sketches, keeps documents of like tokens together and
 shards equally large. Each shard has a BM25 inverted index over token ids, weighted
 by the document frequencies, number and mean length of all documents. A seed
-document's rarest tokens are looked up in it, and the unused documents that score
-best follow the seed until the window is full. A document that crosses the end of the window is cut there; its rest
+document's distinct tokens are all looked up in it, and the unused documents that
+score best follow the seed until the window is full. A document that crosses the end of the window is cut there; its rest
 starts the next window and is that window's seed. Only the last window of a shard
 can stay open: it is split into sequences whose lengths are powers of two, which
 need no padding.
@@ -29,7 +29,6 @@ from feedmill.session import stage
 WINDOW = 4096
 END = 2
 SHARD_BYTES = 8 << 20
-QUERY_TERMS = 24
 SKETCH = 64  # components of a document's sketch
 SKETCH_HASHES = 2  # components that a token adds to
 SAMPLE_ROWS = 1 << 18  # most sketches the tree is trained on
@@ -131,10 +130,9 @@ class ShardIndex:
         self.held, self.number = held, number
 
     def scores(self, ids: np.ndarray) -> np.ndarray:
-        """Score of every document of the shard for the QUERY_TERMS rarest tokens that other documents share."""
+        """Score of every document of the shard for all tokens that other documents share."""
         terms = np.searchsorted(self.tokens, np.unique(ids))
         terms = terms[self.held[terms] > 1]
-        terms = terms[np.argsort(self.held[terms], kind="stable")[:QUERY_TERMS]]
         at = ragged(self.bounds[terms], self.held[terms])
         return np.bincount(self.docs[at], self.weights[at], self.number)
 

@@ -474,3 +474,12 @@ def test_hot_anchors_meet_in_no_bucket(spark, monkeypatch):
     assert largest < 100
     assert sorted(suffix_dedup.remove_repeats(table).collect(), key=str) == plain
     assert sum(r["n_removed"] for r in plain) > 300 * 100
+
+
+def test_all_tokens_of_a_seed_are_scored():
+    # the seed shares 40 rare tokens with one document each, and 30 more common ones with the last
+    seed = np.arange(70)
+    parts = [seed, np.arange(40), *[np.arange(40, 70)] * 3]
+    bounds = np.concatenate(([0], np.cumsum([len(p) for p in parts])))
+    score = packing.ShardIndex(np.concatenate(parts), bounds).scores(seed)
+    assert (score > 0).all()
