@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedmill.llm import (
-    ann, exact_dedup, language, mixing, packing, quality, simhash, suffix_dedup, token_counts, url_rules,
+    ann, byte_bpe, exact_dedup, language, manifest, mixing, packing, quality, simhash, suffix_dedup, token_counts,
+    url_rules,
 )
 
 URL_RULES = [
@@ -69,6 +70,17 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(_table(spark, sf_dir, "pages"), rules)
 
 
+def op12(spark: SparkSession, sf_dir: str, rank_file: str | None = None) -> DataFrame:
+    import public_tokenizers
+
+    ranks = rank_file or tokenizer_file("byte_bpe_50k.tiktoken")
+    return byte_bpe.digest_ids(byte_bpe.encode_texts(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN), ranks)
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_ann_dimension_scan": op1,
     "op2_mix_fair_queue": op2,
@@ -80,6 +92,8 @@ QUERIES = {
     "op8_quality_subword": op8,
     "op9_exact_dedup_filters": op9,
     "op10_url_rules": op10,
+    "op12_bpe_transducer": op12,
+    "op13_merkle_manifest": op13,
 }
 
 _NORMALISED = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
@@ -146,10 +160,80 @@ WITH parts AS (
 SELECT *, CASE WHEN rule IN ('example.com/de/', 'net/') THEN 'block' ELSE 'allow' END AS verdict FROM judged
 """
 
+MANIFEST_SQL = r"""
+WITH RECURSIVE crc_table(byte, step, value) AS (
+  SELECT b, 0, CAST(b AS BIGINT) FROM range(256) r(b)
+  UNION ALL
+  SELECT byte, step + 1, CASE WHEN value % 2 = 1 THEN xor(value // 2, 3988292384) ELSE value // 2 END
+  FROM crc_table WHERE step < 8
+), digits AS (
+  SELECT DISTINCT doc_id, CAST(doc_id AS VARCHAR) AS digits FROM documents WHERE doc_id IS NOT NULL
+), crc(doc_id, digits, place, value) AS (
+  SELECT doc_id, digits, 0, CAST(4294967295 AS BIGINT) FROM digits
+  UNION ALL
+  SELECT doc_id, digits, place + 1, xor(crc.value // 256, t.value)
+  FROM crc JOIN crc_table t ON t.step = 8 AND t.byte = xor(crc.value, CAST(ascii(substr(digits, place + 1, 1)) AS BIGINT)) % 256
+  WHERE place < len(digits)
+), hit AS (
+  SELECT doc_id FROM crc WHERE place = len(digits) AND xor(value, 4294967295) % 2 = 0
+), fields AS (
+  SELECT doc_id, source, doc_id IN (SELECT doc_id FROM hit) AS hit, text,
+         coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+         || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head
+  FROM documents
+), leaves AS (
+  SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         CASE WHEN hit THEN sha256(head || coalesce(strlen(replace(text, chr(10), '')) || ':' || replace(text, chr(10), ''), '-')) END AS tampered
+  FROM fields
+), ranks AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank,
+         count(*) OVER (PARTITION BY source) AS held
+  FROM leaves
+), nodes(source, level, place, held, digest) AS (
+  SELECT source, 0, rank, held, leaf FROM ranks
+  UNION ALL
+  SELECT source, level + 1, place // 3, (min(held) + 2) // 3, sha256(string_agg(digest, '' ORDER BY place))
+  FROM nodes WHERE held > 1 GROUP BY source, level, place // 3
+), tops AS (
+  SELECT source, digest, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS rank, count(*) OVER () AS held
+  FROM nodes WHERE held = 1
+), trunk(level, place, held, digest) AS (
+  SELECT 0, rank, held, digest FROM tops
+  UNION ALL
+  SELECT level + 1, place // 3, (min(held) + 2) // 3, sha256(string_agg(digest, '' ORDER BY place))
+  FROM trunk WHERE held > 1 GROUP BY level, place // 3
+), runs AS (
+  SELECT source, 0 AS tree, level, place // 3 AS run, list(digest ORDER BY place) AS parts FROM nodes WHERE held > 1 GROUP BY source, level, place // 3
+  UNION ALL
+  SELECT NULL, 1, level, place // 3, list(digest ORDER BY place) FROM trunk WHERE held > 1 GROUP BY level, place // 3
+), folds(doc_id, source, leaf, tree, level, place, acc, proof) AS (
+  SELECT doc_id, source, leaf, 0, 0, rank, coalesce(tampered, leaf), '' FROM ranks
+  UNION ALL
+  SELECT f.doc_id, f.source, f.leaf,
+         CASE WHEN r.parts IS NULL THEN 1 ELSE f.tree END,
+         CASE WHEN r.parts IS NULL THEN 0 ELSE f.level + 1 END,
+         CASE WHEN r.parts IS NULL THEN t.rank ELSE f.place // 3 END,
+         CASE WHEN r.parts IS NULL THEN f.acc ELSE sha256(coalesce(array_to_string(r.parts[1:f.place % 3], ''), '')
+              || f.acc || coalesce(array_to_string(r.parts[f.place % 3 + 2:], ''), '')) END,
+         f.proof || CASE WHEN r.parts IS NULL THEN '' ELSE coalesce(array_to_string(r.parts[1:f.place % 3], ''), '')
+              || coalesce(array_to_string(r.parts[f.place % 3 + 2:], ''), '') END
+  FROM folds f LEFT JOIN runs r ON r.tree = f.tree AND r.level = f.level AND r.run = f.place // 3
+       AND (f.tree = 1 OR r.source IS NOT DISTINCT FROM f.source)
+  JOIN tops t ON t.source IS NOT DISTINCT FROM f.source
+  WHERE r.parts IS NOT NULL OR f.tree = 0
+), done AS (
+  SELECT f.*, t.digest AS subroot, (SELECT digest FROM trunk WHERE held = 1) AS root
+  FROM folds f JOIN tops t ON t.source IS NOT DISTINCT FROM f.source
+  WHERE f.tree = 1 AND NOT EXISTS (SELECT 1 FROM runs r WHERE r.tree = 1 AND r.level = f.level)
+)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, acc AS folded_root, acc = root AS verified FROM done
+"""
+
 # the others learn a model, search in an index, hash with XXH64 or read byte by byte:
 # tests/llm holds them against brute force or held-out accuracy
 SQL = {
     "op2_mix_fair_queue": MIX_SQL,
     "op9_exact_dedup_filters": EXACT_SQL,
     "op10_url_rules": URL_SQL,
+    "op13_merkle_manifest": MANIFEST_SQL,
 }

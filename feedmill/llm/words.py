@@ -76,3 +76,32 @@ def utf8(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     bounds = np.frombuffer(offsets, np.int32)[strings.offset: strings.offset + len(strings) + 1]
     flat = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     return flat[bounds[0]: bounds[-1]], (bounds - bounds[0]).astype(np.int64)
+
+
+def space_chunks(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(where each chunk of the texts in ``data`` begins, and the end; chunks before each text).
+
+    A chunk begins at every space after an ASCII character that is no white space, and
+    at every text. No word pattern or piece that holds a space anywhere but at its
+    front reaches across such a place, so chunks can be encoded one by one.
+    """
+    white = (data == 0x20) | ((data >= 0x09) & (data <= 0x0D)) | ((data >= 0x1C) & (data <= 0x1F)) | (data >= 0x80)
+    cut = np.zeros(len(data) + 1, bool)
+    cut[1:-1] = (data[1:] == 0x20) & ~white[:-1]
+    cut[bounds] = True
+    begins = np.flatnonzero(cut)
+    return begins, np.searchsorted(begins, bounds)
+
+
+def distinct_strings(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """(code of each string between consecutive ``begins``, distinct strings)."""
+    buffers = [None, pa.py_buffer(begins.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))]
+    coded = pa.Array.from_buffers(pa.string(), len(begins) - 1, buffers).dictionary_encode()
+    return coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
+
+
+def gather(flat: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(runs of ``flat`` in the order of ``codes``, where each ends): run k has ``lengths[k]`` values."""
+    begins = np.cumsum(lengths) - lengths
+    of = lengths[codes]
+    return flat[ragged(begins[codes], of)], np.cumsum(of)
