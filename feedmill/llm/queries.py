@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedmill.llm import (
-    ann, byte_bpe, exact_dedup, language, manifest, mixing, packing, quality, simhash, suffix_dedup, token_counts,
-    url_rules,
+    alignment, ann, byte_bpe, exact_dedup, language, manifest, mixing, packing, quality, simhash, suffix_dedup,
+    token_counts, url_rules,
 )
 
 URL_RULES = [
@@ -70,6 +70,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(_table(spark, sf_dir, "pages"), rules)
 
 
+def op11(spark: SparkSession, sf_dir: str, a_file: str | None = None, b_file: str | None = None) -> DataFrame:
+    return alignment.align_tokenizers(
+        _table(spark, sf_dir, "documents"), a_file or tokenizer_file("byte_bpe_50k.json"), b_file or tokenizer_file("piece_bpe_32k.model")
+    )
+
+
 def op12(spark: SparkSession, sf_dir: str, rank_file: str | None = None) -> DataFrame:
     import public_tokenizers
 
@@ -92,6 +98,7 @@ QUERIES = {
     "op8_quality_subword": op8,
     "op9_exact_dedup_filters": op9,
     "op10_url_rules": op10,
+    "op11_tokenizer_alignment": op11,
     "op12_bpe_transducer": op12,
     "op13_merkle_manifest": op13,
 }

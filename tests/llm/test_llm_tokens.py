@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
+from itertools import accumulate
 
 import pyarrow as pa
 import pytest
@@ -12,8 +13,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import types as T
 
-from feedmill.llm import byte_bpe, manifest
-from feedmill.llm.queries import SQL, op12, op13, tokenizer_file
+from feedmill.llm import alignment, byte_bpe, manifest
+from feedmill.llm.queries import SQL, op11, op12, op13, tokenizer_file
 from oracle import compare, connect
 from feedmill.queries.tables import Query
 
@@ -159,3 +160,77 @@ def test_manifest_of_little(spark, odd_rows):
 
 def test_manifest_equals_sql(spark):
     assert compare(spark, connect(SF), Query(op13, SQL["op13_merkle_manifest"]), SF) == ("", 200)
+
+
+def brute_alignment(rows):
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    one = Tokenizer.from_file(tokenizer_file("byte_bpe_50k.json"))
+    one.encode_special_tokens = True
+    two = sentencepiece.SentencePieceProcessor(model_file=tokenizer_file("piece_bpe_32k.model"))
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    byte_of = {chr(b) if b in printable else chr(next(others)): b for b in range(256)}
+
+    def groups_of(ids, spelled, shared):
+        out = [[]]
+        for i, end in zip(ids, accumulate(map(len, spelled))):
+            out[-1].append(i)
+            if end in shared:
+                out.append([])
+        return out[:-1]
+
+    docs, count, best = [], Counter(), Counter()
+    for doc_id, text in rows:
+        found = None
+        if text:
+            a, b = one.encode(" " + text, add_special_tokens=False), two.encode(text)
+            a_bytes = [bytes(byte_of[c] for c in t) for t in a.tokens]
+            b_bytes = [bytes([int(p[3:5], 16)]) if two.is_byte(i) else p.replace("\u2581", " ").encode() for i, p in zip(b, two.id_to_piece(b))]
+            if b"".join(a_bytes) == b"".join(b_bytes) == (" " + text).encode():
+                shared = set(accumulate(map(len, a_bytes))) & set(accumulate(map(len, b_bytes)))
+                groups = list(zip(groups_of(a.ids, a_bytes, shared), groups_of(b, b_bytes, shared)))
+                links = Counter((x, y) for left, right in groups for x in left for y in right)
+                count.update(links.keys())
+                found = len(a.ids), len(b), groups, links
+        docs.append((doc_id, found))
+    for (x, _), c in count.items():
+        best[x] = max(best[x], c)
+    out = []
+    for doc_id, found in docs:
+        if found is None:
+            out.append((doc_id, 0, 0, 0, 0, 0, 0, ""))
+            continue
+        n_a, n_b, groups, links = found
+        text = ";".join(",".join(map(str, left)) + "|" + ",".join(map(str, right)) for left, right in groups)
+        out.append((doc_id, n_a, n_b, len(groups), sum(links.values()), sum(n for k, n in links.items() if count[k] == best[k[0]]),
+                    sum(n * count[k] for k, n in links.items()), sha_of(text)))
+    return sorted(out, key=repr)
+
+
+def test_alignment(spark, odd_rows, tmp_path):
+    frame(spark, odd_rows).write.parquet(f"{tmp_path}/documents.parquet")
+    assert sorted(map(tuple, op11(spark, str(tmp_path)).collect()), key=repr) == brute_alignment([r[:2] for r in odd_rows])
+    spark.createDataFrame([], DOCS).write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert op11(spark, f"{tmp_path}/none").collect() == []
+
+
+def test_alignment_over_many_slices(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").repartition(7)
+    files = tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model")
+    got = alignment.align_tokenizers(docs, *files)
+    assert got.columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+    assert sorted(map(tuple, got.collect()), key=repr) == brute_alignment([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()])
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(st.one_of(st.sampled_from("aeh tin's.10\n\t\r\u00a0\u2581\u3000é\u4e2d"), st.characters(max_codepoint=0xFFFF, exclude_categories=["Cs"]))))
+def test_chunks_are_encoded_like_whole_texts(text):
+    aligner = alignment.Aligner(
+        alignment.tokenizer(alignment.ByteTokens, tokenizer_file("byte_bpe_50k.json")),
+        alignment.tokenizer(alignment.PieceTokens, tokenizer_file("piece_bpe_32k.model")),
+    )
+    got = aligner.slice(pa.array([" " + text if text else ""]))
+    want = brute_alignment([(0, text)])[0]
+    assert (got["n_a"][0], got["n_b"][0], got["n_groups"][0], got["n_links"][0], got["groups_sha256"][0]) == (*want[1:5], want[7])
