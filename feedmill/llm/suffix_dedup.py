@@ -155,13 +155,25 @@ def _classes(start: np.ndarray, columns: np.ndarray) -> np.ndarray:
     return out
 
 
-def repeated_windows(anchor: np.ndarray, around: np.ndarray, entry: dict[str, np.ndarray], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _row_classes(rows: np.ndarray) -> np.ndarray:
+    """Class of each row of GRAM bytes: equal rows, equal numbers."""
+    lanes = np.ascontiguousarray(rows).view("<u8")
+    order = np.lexsort(lanes.T)
+    new = np.zeros(len(order), np.int64)
+    new[1:] = (lanes[order[1:]] != lanes[order[:-1]]).any(axis=1)
+    out = np.empty(len(order), np.int64)
+    out[order] = np.cumsum(new)
+    return out
+
+
+def repeated_windows(around: np.ndarray, entry: dict[str, np.ndarray], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, start, end) of the bytes covered by repeated windows, per anchor occurrence.
 
-    Rows must be in order of place, so that the first of equal windows is the earliest.
+    The first digit is the anchor's own bytes, not their hash. Rows must be in order of
+    place, so that the first of equal windows is the earliest.
     """
     reach = depth - GRAM
-    start = np.unique(anchor, return_inverse=True)[1]
+    start = _row_classes(around[:, reach:depth])
     to_left = _classes(start, around[:, :reach][:, ::-1])
     to_right = _classes(start, around[:, depth:])
     low = np.full(len(start), depth, np.int64)
@@ -365,7 +377,7 @@ def _other_digits(texts: DataFrame, wanted: DataFrame, depth: int) -> DataFrame:
         around = entry.pop("around").reshape(-1, 2 * depth - GRAM)
         order = np.lexsort([entry["pos"], entry["hash"], entry["doc"]])
         entry = {c: v[order] for c, v in entry.items()}
-        return _marks(entry, *repeated_windows(entry["anchor"], around[order], entry, depth))
+        return _marks(entry, *repeated_windows(around[order], entry, depth))
 
     by_doc = wanted.groupBy("doc", "hash").agg(F.collect_list(F.struct("bucket", "anchor", "start")).alias("asked"))
     packed = texts.join(by_doc, ["doc", "hash"]).select("doc", "hash", "text", "asked").mapInArrow(

@@ -483,3 +483,15 @@ def test_all_tokens_of_a_seed_are_scored():
     bounds = np.concatenate(([0], np.cumsum([len(p) for p in parts])))
     score = packing.ShardIndex(np.concatenate(parts), bounds).scores(seed)
     assert (score > 0).all()
+
+
+def test_windows_around_anchors_of_equal_hash_are_told_apart():
+    rng = np.random.default_rng(2)
+    reach = suffix_dedup.DEPTH - suffix_dedup.GRAM
+    around = np.tile(rng.integers(97, 123, 2 * suffix_dedup.DEPTH - suffix_dedup.GRAM, dtype=np.uint8), (3, 1))
+    around[1, reach + 5] ^= 1
+    entry = {"doc": np.array([1, 2, 3]), "hash": np.array([7, 7, 7]), "pos": np.full(3, reach), "anchor": np.full(3, 5),
+             "left": np.full(3, reach, np.uint8), "right": np.full(3, suffix_dedup.DEPTH, np.uint8)}
+    rows, start, stop = suffix_dedup.repeated_windows(around, entry)
+    # only the third is like the first; the second's windows hold another gram
+    assert (rows.tolist(), start.tolist(), stop.tolist()) == ([2], [0], [2 * suffix_dedup.DEPTH - suffix_dedup.GRAM])
