@@ -74,12 +74,14 @@ def load_files(store: Store, landing: str, files: list[tuple[str, str]], as_of:
     csv = [f for f, kind in files if kind == "CSV"]
     excel = [f for f, kind in files if kind == "EXCEL"]
     parts = []
+    lines = [tabular.csv_parts(spark, landing, csv)] if csv else []
     if csv:
-        parts.append(tabular.csv_cells(spark, landing, csv))
+        parts.append(tabular.csv_cells(lines[0], landing))
     if excel:
         parts.append(tabular.excel_cells(spark, landing, excel))
     cells = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     cells = stage(cells.withColumn("width", tabular.used_width(F.col("cells"))), "cells")
+    drop_staged(*lines)
 
     asked = spark.createDataFrame(files, "file_name string, file_type string")
     listing = L.list_files(spark, landing).join(F.broadcast(asked), "file_name", "left_semi")

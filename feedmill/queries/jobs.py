@@ -70,7 +70,7 @@ _CELLS_SQL = """SELECT 'tpa=' || event_type AS tpa, strftime(ts, '%Y-%m-%d') AS
 
 
 def _csv_rows(s, d) -> DataFrame:
-    cells = tabular.csv_cells(s, landing(s, d), csv_files(s, d)).filter("row_no > 1")
+    cells = tabular.csv_cells(tabular.csv_parts(s, landing(s, d), csv_files(s, d)), landing(s, d)).filter("row_no > 1")
     clean = F.transform("cells", lambda c: F.when(~c.isin(tabular.NULL_TOKENS), c))
     return cells.select(
         paths.provider(F.col("file_name")).alias("tpa"),

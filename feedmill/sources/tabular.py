@@ -9,9 +9,11 @@ from collections.abc import Iterator
 from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedmill.session import stage
+from feedmill.sources import csv_records
 from feedmill.sources.listing import relative
 
 # Cell texts that mean "no value".
@@ -26,48 +28,19 @@ def _decoded(path: Column) -> Column:
     return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
-def csv_cells(spark: SparkSession, landing: str, files: list[str]) -> DataFrame:
-    """All rows of the CSV files, header included as row 1.
+def csv_parts(spark: SparkSession, landing: str, files: list[str]) -> DataFrame:
+    """The lines of the CSV files, staged; ``csv_cells`` makes rows of them."""
+    return stage(csv_records.split_parts(spark, [f"{landing.rstrip('/')}/{f}" for f in files]), "csv-lines")
 
-    Files are read unsplit (a quoted cell may hold line breaks), so the row
-    order within a task is the file's. Numbering groups by file; an admitted
-    file has at most 100 MB, which bounds the group.
-    """
-    paths = [f"{landing.rstrip('/')}/{f}" for f in files]
-    first = Window.partitionBy("file").orderBy("at")
-    widest = (
-        spark.read.format("binaryFile").load(paths)
-        .select(header_width(F.decode("content", "UTF-8")).alias("width")).agg(F.max("width")).first()[0] or 1
-    )
-    columns = [f"c{i}" for i in range(widest + 1)]
-    rows = (
-        spark.read.schema(", ".join(f"{c} string" for c in columns))
-        .options(header=False, multiLine=True, quote='"', escape='"', mode="PERMISSIVE",
-                 ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
-                 maxCharsPerColumn=-1, ignoreMissingFiles=True)
-        .csv(paths)
-        .select(
-            F.col("_metadata.file_path").alias("file"),
-            F.array(*columns).alias("cells"),
-            F.monotonically_increasing_id().alias("at"),
-        )
-    )
-    return rows.select(
-        relative(_decoded(F.col("file")), landing).alias("file_name"),
-        F.row_number().over(first).cast("long").alias("row_no"),
-        "cells",
+
+def csv_cells(parts: DataFrame, landing: str) -> DataFrame:
+    """All rows of the CSV files behind ``parts``, header included as row 1."""
+    return csv_records.split_cells(csv_records.records(parts)).select(
+        relative(_decoded(F.col("file")), landing).alias("file_name"), "row_no", "cells",
         F.lit(None).cast("string").alias("error"),
     )
 
 
-def header_width(text: Column) -> Column:
-    """Cells of the first record of a CSV text; quoted cells may hold commas and line breaks."""
-    quoted = '"(?:[^"]++|"")*+"'
-    record = F.regexp_extract(text, rf'^(?:[^"\r\n]++|{quoted})*+', 0)
-    bare = F.regexp_replace(record, quoted, "")
-    return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
-
-
 # -- Excel ------------------------------------------------------------------------
 
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"

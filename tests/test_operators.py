@@ -293,12 +293,60 @@ def test_large_reference_equals_small_one(spark, skewed, monkeypatch):
     assert small == {i: {"hot": "h", "k1": "one", "k2": "two"}.get(k) for i, k, _ in rows}
 
 
-def test_header_width_of_quoted_headers(spark):
-    from feedmill.sources.tabular import header_width
+def csv_rows_by_character(text):
+    """Records and their cells, one character after the other."""
+    rows, cells, cell, quoted, at = [], [], "", False, 0
+    text = text.removeprefix("\ufeff")
+    while at <= len(text):
+        c = text[at] if at < len(text) else None
+        if quoted and c is not None:
+            if c == '"' and text[at + 1: at + 2] == '"':
+                cell, at = cell + c, at + 1
+            elif c == '"':
+                quoted = False
+            elif not (c == "\r" and text[at + 1: at + 2] == "\n"):
+                cell += c
+        elif c == '"' and cell == "" and text[at - 1: at] in ("", ",", "\n"):
+            quoted = True
+        elif c == ",":
+            cells, cell = [*cells, cell or None], ""
+        elif c in ("\n", None):
+            if c is None or text[at - 1: at] == "\r":
+                cell = cell.removesuffix("\r")
+            if cells or cell or (at and text[at - 1] == '"'):
+                rows.append([*cells, cell or None])
+            cells, cell = [], ""
+        else:
+            cell += c
+        at += 1
+    return rows
+
+
+@pytest.mark.parametrize("split", [29, 1 << 20])
+def test_csv_splits_anywhere(spark, tmp_path, split):
+    from feedmill.sources import tabular
 
-    texts = [("a,b,c\n1,2,3", 3), ('"x\ny","p,q",z,w\n1,2,3,4', 4), ("", 1), ("one", 1), ('"a ""quoted"", name",b\r\n1,2', 2), ("a,b\r\n", 2)]
-    got = spark.createDataFrame(texts, "text string, want int").select(header_width(F.col("text")).alias("got"), "want").collect()
-    assert [r["got"] for r in got] == [r["want"] for r in got]
+    rng = random.Random(5)
+    cells = ["a", "", "x y", '"q"', '"two\nlines"', '"a ""quoted"" name"', '"p,q"', '"\r\n,\n\n"', "é", 'mid"dle', '"one\ntwo\nthree\n\nfive"', '""']
+    texts = {
+        "plain.csv": "a,b,c\n1,2,3\n\n4,5,6", "quoted.csv": '"x\ny","p,q",z,w\n1,2,3,4\n', "one.csv": "one", "empty.csv": "",
+        "crlf.csv": '\ufeff"a ""quoted"", name",b\r\n1,"2\r\n3"\r\n\r\n4,5\r\n', "open.csv": 'a,b\n1,"never\nclosed,\n\nat all',
+        **{f"r{k}.csv": "\n".join(",".join(rng.choice(cells) for _ in range(rng.randint(1, 4))) for _ in range(25)) + "\n" for k in range(3)},
+    }
+    for name, text in texts.items():
+        (tmp_path / name).write_bytes(text.encode())
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        parts = tabular.csv_parts(spark, str(tmp_path), sorted(texts))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    got = tabular.csv_cells(parts, str(tmp_path)).collect()
+    found = {}
+    for r in sorted(got, key=lambda r: r["row_no"]):
+        found.setdefault(r["file_name"], []).append((r["row_no"], r["cells"]))
+    for name, text in texts.items():
+        assert found.get(name, []) == list(enumerate(csv_rows_by_character(text), 1)), name
 
 
 def test_predicates_match_whole_operators():
