@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedmill.llm.words import id_and_text, ragged, slices, word_table
-from feedmill.session import stage
+from feedmill.session import drop_staged, stage
 
 WINDOW = 4096
 END = 2
@@ -34,6 +34,9 @@ SKETCH_HASHES = 2  # components that a token adds to
 SAMPLE_ROWS = 1 << 18  # most sketches the tree is trained on
 ROWS_PER_SHARD = 16  # least sampled sketches per leaf of the tree
 K1, B = 1.2, 0.75
+STEPS = 256  # of a BM25 weight, which is below 128
+COMMON = 16  # a token of more than one in so many documents of a shard has a row
+FIRST = 64  # neighbours sorted at first
 WORD_END = "</w>"
 MARK = "\0"
 _PLAIN = "^[!-~\u00a1-\u00ac\u00ae-\u00ff]+$"
@@ -126,15 +129,39 @@ class ShardIndex:
         self.bounds = np.append(first, len(key))
         idf = inverse_frequency(number, held) if idf is None else idf[self.tokens]
         norm = K1 * (1 - B + B * sizes / max(sizes.mean() if mean is None else mean, 1))
-        self.weights = (np.repeat(idf, held) * times * (K1 + 1) / (times + norm[self.docs])).astype(np.float32)
+        weights = np.repeat(idf, held) * times * (K1 + 1) / (times + norm[self.docs])
+        # whole steps, so that sums do not depend on their order
+        self.weights = np.rint(weights * STEPS).astype(np.int16)
         self.held, self.number = held, number
+        # tokens of many documents as rows over all documents: 16 times the postings at most
+        common = np.flatnonzero(held * COMMON > number)
+        self.row = np.full(len(held), -1, np.int64)
+        self.row[common] = np.arange(len(common))
+        self.rows = np.zeros((len(common), number), np.int16)
+        at = ragged(self.bounds[common], held[common])
+        self.rows[np.repeat(np.arange(len(common)), held[common]), self.docs[at]] = self.weights[at]
 
     def scores(self, ids: np.ndarray) -> np.ndarray:
-        """Score of every document of the shard for all tokens that other documents share."""
+        """Score of every document of the shard for all tokens that other documents share, in steps."""
         terms = np.searchsorted(self.tokens, np.unique(ids))
         terms = terms[self.held[terms] > 1]
-        at = ragged(self.bounds[terms], self.held[terms])
-        return np.bincount(self.docs[at], self.weights[at], self.number)
+        rows = self.row[terms]
+        rare = terms[rows < 0]
+        at = ragged(self.bounds[rare], self.held[rare])
+        score = np.bincount(self.docs[at], self.weights[at], self.number).astype(np.int64)
+        return score + self.rows[rows[rows >= 0]].sum(axis=0, dtype=np.int32)
+
+
+def best_first(score: np.ndarray) -> Iterator[int]:
+    """Documents with a score, best first, ties in their order; only the first ones are sorted unless more are asked for."""
+    related = np.flatnonzero(score > 0)
+    value = score[related]
+    if len(related) > FIRST:
+        least = np.partition(value, len(value) - FIRST)[len(value) - FIRST]
+        top = related[value >= least]
+        yield from top[np.argsort(-score[top], kind="stable")].tolist()
+        related = related[value < least]
+    yield from related[np.argsort(-score[related], kind="stable")].tolist()
 
 
 def reading_order(
@@ -159,12 +186,8 @@ def reading_order(
                 if not filled:
                     continue
         score = index.scores(ids[bounds[seed]: bounds[seed + 1]]) * unused
-        related = np.flatnonzero(score > 0)
-        chosen = related[np.argsort(-score[related], kind="stable")].tolist()
-        if not chosen:
-            # nothing related is left: the next unused document joins and becomes the seed
-            chosen = [following]
-        for doc in chosen:
+        # nothing related is left: the next unused document joins and becomes the seed
+        for doc in best_first(score) if score.any() else [following]:
             unused[doc] = False
             yield doc
             filled += int(sizes[doc])
@@ -275,24 +298,50 @@ def _token_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBat
             start = stop
 
 
+def documents_holding(ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens, how many of the documents hold each)."""
+    number = max(len(bounds) - 1, 1)
+    held = np.unique(ids.astype(np.int64) * number + np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))) // number
+    counts = np.bincount(held)
+    tokens = np.flatnonzero(counts)
+    return tokens, counts[tokens]
+
+
+def with_statistics(encoded: DataFrame) -> DataFrame:
+    """size and held of encoded documents (code, doc_id, width, ids) that came without them."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, ids, bounds in _token_ids(batches):
+            held = np.concatenate(documents_holding(ids, bounds)).astype("<u4").tobytes()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.diff(bounds)), pa.array([held] + [None] * (rows.num_rows - 1), pa.binary())], names=["size", "held"])
+
+    return encoded.mapInArrow(count, "size long, held binary")
+
+
 def corpus_statistics(encoded: DataFrame, end: int = END) -> tuple[int, int, np.ndarray]:
-    """(documents, tokens, inverse document frequency by token) of all encoded documents, end tokens included."""
+    """(documents, tokens, inverse document frequency by token) of all encoded documents, end tokens included.
+
+    One document of each slice carries the tokens of the slice and how many documents hold each.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros(0, np.int64)
-        for _, ids, bounds in _token_ids(batches):
-            number = len(bounds) - 1
-            tokens = np.unique(ids * number + np.repeat(np.arange(number), np.diff(bounds))) // number
-            found = np.bincount(tokens, minlength=len(held))
-            found[: len(held)] += held
-            held = found
+        for batch in batches:
+            for blob in batch.column("held").to_pylist():
+                tokens, counts = np.frombuffer(blob, "<u4").astype(np.int64).reshape(2, -1)
+                if tokens.max(initial=-1) >= len(held):
+                    held = np.concatenate([held, np.zeros(int(tokens.max()) + 1 - len(held), np.int64)])
+                held[tokens] += counts
         at = np.flatnonzero(held)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(held[at])], names=["token", "held"])
 
-    length = F.coalesce(F.sum(F.octet_length("ids") / F.col("width")).cast("long"), F.lit(0))
+    encoded = encoded if "held" in encoded.columns else with_statistics(encoded)
+    length = F.coalesce(F.sum(F.col("size")), F.lit(0))
     number, tokens = encoded.agg(F.count(F.lit(1)), length).first()
+    slices_ = encoded.where(F.col("held").isNotNull()).select("held")
     # one row per entry of the vocabulary at most
-    found = encoded.mapInArrow(count, "token long, held long").groupBy("token").agg(F.sum("held").alias("held")).toArrow()
+    found = slices_.mapInArrow(count, "token long, held long").groupBy("token").agg(F.sum("held").alias("held")).toArrow()
     token = found.column("token").to_numpy()
     held = np.zeros(max(token.max(initial=0), end) + 1)
     held[token] = found.column("held").to_numpy()
@@ -340,40 +389,40 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end: int =
         for part, strings in slices(batches, limit=SHARD_BYTES):
             ids, bounds = tokenizer.encode(strings)
             kind = "<u2" if len(ids) == 0 or ids.max() < 1 << 16 else "<u4"
+            held = np.concatenate(documents_holding(ids, bounds)).astype("<u4").tobytes()
             ids = ids.astype(kind)
             yield pa.RecordBatch.from_arrays([
                 part.column("code"), part.column("doc_id"), pa.array([np.dtype(kind).itemsize] * part.num_rows, pa.int32()),
-                pa.array([ids[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])], pa.binary()),
-            ], names=["code", "doc_id", "width", "ids"])
+                pa.array([ids[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])], pa.binary()), pa.array(np.diff(bounds)),
+                pa.array([held] + [None] * (part.num_rows - 1), pa.binary()),
+            ], names=["code", "doc_id", "width", "ids", "size", "held"])
 
     encoded = stage(texts.withColumn("code", F.xxhash64("doc_id", "text")).mapInArrow(
-        encode, "code long, doc_id long, width int, ids binary"), "token-ids")
+        encode, "code long, doc_id long, width int, ids binary, size long, held binary"), "token-ids")
     number, tokens, idf = corpus_statistics(encoded, end)
     tree = shard_tree(encoded, number, idf, shards)
     mean, shared = tokens / max(number, 1), texts.sparkSession.sparkContext.broadcast((idf, tree))
 
-    def deal(parts: np.ndarray):
-        """Rows with their shard; a leaf has as many shards as ``parts`` says."""
-        before = np.cumsum(parts) - parts
-
-        def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            idf, tree = shared.value
-            for rows, ids, bounds in _token_ids(batches):
-                leaf = tree.leaf(sketches(ids, bounds, idf)) if len(tree.cuts) else np.zeros(rows.num_rows, np.int64)
-                shard = before[leaf] + rows.column("code").to_numpy() % parts[leaf]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(shard, pa.int32()), *rows.columns[1:]], names=["shard", *rows.schema.names[1:]]
-                )
-
-        return encoded.mapInArrow(place, "shard int, doc_id long, width int, ids binary")
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        idf, tree = shared.value
+        for rows, ids, bounds in _token_ids(batches):
+            leaf = pa.array(tree.leaf(sketches(ids, bounds, idf)), pa.int32())
+            yield pa.RecordBatch.from_arrays([leaf, *rows.columns], names=["leaf", *rows.schema.names])
 
     # the tree has at most SAMPLE_ROWS / ROWS_PER_SHARD leaves
     parts = np.ones(len(tree.cuts) + 1, np.int64)
+    dealt, columns = encoded.select(F.lit(0).alias("leaf"), "code", "doc_id", "width", "ids", "size"), "code long, doc_id long, width int, ids binary"
+    if len(tree.cuts):
+        dealt = stage(encoded.select("code", "doc_id", "width", "ids", "size").mapInArrow(place, f"leaf int, {columns}, size long"), "dealt-ids")
+        drop_staged(encoded)
     if shards > 1:
-        length = (F.octet_length("ids") / F.col("width") + 1).cast("long")
-        for leaf, held in deal(parts).groupBy("shard").agg(F.sum(length)).collect():
+        for leaf, held in dealt.groupBy("leaf").agg(F.sum(F.col("size") + 1)).collect():
             parts[leaf] = 1 if held * shards <= 2 * tokens else -(-held * shards // tokens)
-    keyed = deal(parts)
+    # one row per leaf
+    spread = texts.sparkSession.createDataFrame(
+        list(zip(range(len(parts)), (np.cumsum(parts) - parts).tolist(), parts.tolist())), "leaf int, before long, parts long")
+    keyed = dealt.join(F.broadcast(spread), "leaf").select(
+        (F.col("before") + F.pmod("code", "parts")).cast("int").alias("shard"), "doc_id", "width", "ids")
 
     def fill(table: pa.Table) -> pa.Table:
         idf, _ = shared.value

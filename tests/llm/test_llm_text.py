@@ -495,3 +495,26 @@ def test_windows_around_anchors_of_equal_hash_are_told_apart():
     rows, start, stop = suffix_dedup.repeated_windows(around, entry)
     # only the third is like the first; the second's windows hold another gram
     assert (rows.tolist(), start.tolist(), stop.tolist()) == ([2], [0], [2 * suffix_dedup.DEPTH - suffix_dedup.GRAM])
+
+
+def test_packing_order_is_that_of_full_scoring():
+    rng = np.random.default_rng(4)
+    sizes = rng.integers(1, 90, 400)
+    bounds = np.concatenate(([0], np.cumsum(sizes)))
+    ids = np.minimum(rng.zipf(1.3, bounds[-1]), 3000).astype(np.int64)
+    number, docs = len(sizes), [Counter(ids[a:b].tolist()) for a, b in zip(bounds[:-1], bounds[1:])]
+    held = Counter(t for d in docs for t in d)
+    index = packing.ShardIndex(ids, bounds)
+    assert (index.row >= 0).any() and (index.row < 0).any()
+    for seed in range(0, 400, 37):
+        want = np.zeros(number)
+        for doc, counts in enumerate(docs):
+            for token in set(docs[seed]) & set(counts):
+                if held[token] > 1:
+                    idf = np.log1p((number - held[token] + 0.5) / (held[token] + 0.5))
+                    norm = packing.K1 * (1 - packing.B + packing.B * sizes[doc] / sizes.mean())
+                    weight = idf * counts[token] * (packing.K1 + 1) / (counts[token] + norm)
+                    want[doc] += np.rint(weight * packing.STEPS)
+        assert (index.scores(ids[bounds[seed]: bounds[seed + 1]]) == want).all()
+        order = [d for d in np.argsort(-want, kind="stable") if want[d] > 0]
+        assert list(packing.best_first(want)) == order
