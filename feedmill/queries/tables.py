@@ -163,7 +163,7 @@ def schemas(spark, d) -> DataFrame:
 
 
 def mappings(spark, d) -> DataFrame:
-    p = load(spark, d, "part").filter("p_size > 20")
+    p = load(spark, d, "part")
     methods = F.array(*[F.lit(m) for m in ("MANUAL", "ML_AUTO", "LLM_CORTEX", "SYSTEM", "GUESS")])
     return p.select(
         (F.col("p_partkey") + 1).alias("mapping_id"),
@@ -337,7 +337,7 @@ SELECT p_partkey + 1 AS mapping_id,
        'UPPER(TRIM(source_value)) -- ' || CAST(p_size AS VARCHAR) AS transformation_logic,
        p_partkey % 3 <> 0 AS approved, CAST(NULL AS VARCHAR) AS approved_by,
        'About ' || p_name AS description
-FROM part WHERE p_size > 20""",
+FROM part""",
     "rules": """
 SELECT 'R' || CAST(c_custkey AS VARCHAR) AS rule_id, 'Rule ' || CAST(c_custkey AS VARCHAR) AS rule_name,
        ['DATA_QUALITY', 'BUSINESS_LOGIC', 'STANDARDIZATION', 'DEDUPLICATION'][CAST(c_custkey % 4 + 1 AS INTEGER)] AS rule_type,

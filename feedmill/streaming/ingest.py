@@ -72,13 +72,34 @@ def append_new(store: Store, table: str, rows: DataFrame, keys: list[str], parti
     store.append(table, fresh, partition_by)
 
 
+def stream_distinct(rows: DataFrame, keys: list[str], event_time: str, delay: str, target: str, checkpoint: str) -> StreamingQuery:
+    """Write the first row of each key of a stream to the Parquet folder ``target``, a part per micro-batch.
+
+    Keys live in the state store from their first row until the watermark, the latest
+    ``event_time`` less ``delay``, passes it by ``delay``; rows older than the watermark
+    are dropped. So the state holds the keys of that span, however long the stream
+    runs. A repeated micro-batch replaces its own part.
+    """
+    first = rows.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+    return (
+        first.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+
+
 def stream_raw_to_silver(store: Store, target: str, checkpoint: str,
                          as_of: Callable[[], datetime.datetime], **options) -> StreamingQuery:
     """Run a silver batch whenever raw rows arrive; the high-water mark decides what is new."""
     raw = store.spark.readStream.schema(store.read("raw_data").schema).parquet(store.path("raw_data"))
 
     def run(batch: DataFrame, _: int) -> None:
-        silver.process_all_pending(store, target, as_of(), **options)
+        failed = [r for r in silver.process_all_pending(store, target, as_of(), **options) if r.status == "FAILED"]
+        if failed:
+            # the trigger fails with its batch, so that the next start repeats it
+            raise RuntimeError(f"silver batch failed: {failed[-1]}")
 
     return (
         raw.select("raw_id").writeStream.foreachBatch(run)

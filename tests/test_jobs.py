@@ -1,6 +1,7 @@
 """Files on disk to typed rows, end to end."""
 
 import datetime
+import types
 import zipfile
 
 import pytest
@@ -321,6 +322,24 @@ def test_stream_runs_silver_batches(spark, landing, tmp_path):
     assert store.snapshot("processing_watermarks").first().last_processed_id == 10
 
 
+def test_failed_silver_batch_fails_its_trigger(spark, landing, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path / "lake"), buckets=2)
+    bronze.discover_files(store, landing, now())
+    drain(store, landing, 100)
+    silver_setup(store)
+    work, tries = silver.process_all_pending, []
+
+    def once_broken(*args, **options):
+        tries.append(1)
+        return [types.SimpleNamespace(status="FAILED")] if len(tries) == 1 else work(*args, **options)
+
+    monkeypatch.setattr(silver, "process_all_pending", once_broken)
+    with pytest.raises(Exception, match="silver batch failed"):
+        ingest.stream_raw_to_silver(store, "CLAIMS", str(tmp_path / "cp"), lambda: DAY).awaitTermination()
+    ingest.stream_raw_to_silver(store, "CLAIMS", str(tmp_path / "cp"), lambda: DAY).awaitTermination()
+    assert len(tries) == 2 and store.silver("CLAIMS").count() == 7
+
+
 def test_schema_changes_keep_data(spark, landing, tmp_path):
     store = Store(spark, str(tmp_path / "lake"), buckets=2)
     bronze.discover_files(store, landing, now())
