@@ -31,7 +31,7 @@ from feedmill.operators.joins import attach_by_key
 from feedmill.session import stage
 
 SPACE = "▁"
-SLICE = 2 << 20  # bytes of text aligned at a time
+SLICE = 1 << 20  # bytes of text aligned at a time
 BLOCK = 1 << 16  # characters that a tokenizer reads at a time
 
 
@@ -277,6 +277,8 @@ def align_texts(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
             lists = [pa.array([pa.array(found[c]).to_pylist()], pa.list_(pa.string() if k == "string" else pa.int64())) for c, k in _LISTS.items()]
             blobs = [pa.array([found[c].astype(k).tobytes()], pa.binary()) for c, k in _BLOBS.items()]
             yield pa.RecordBatch.from_arrays([*lists, *blobs], names=[*_LISTS, *_BLOBS])
+            del found, lists, blobs
+            pa.default_memory_pool().release_unused()
 
     schema = [f"{c} array<{k}>" for c, k in _LISTS.items()] + [f"{c} binary" for c in _BLOBS]
     return spaced.mapInArrow(run, ", ".join(schema))
