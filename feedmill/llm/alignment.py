@@ -263,7 +263,18 @@ class Aligner:
 
 
 _LISTS = {"doc_id": "long", "n_a": "long", "n_b": "long", "n_groups": "long", "n_links": "long", "groups_sha256": "string"}
-_BLOBS = {"bounds": "<u4", "codes": "<u4", "held": "<u4", "index": "<u4", "times": "<u4", "pairs": "<i8", "docs": "<u4"}
+_BLOBS = ("bounds", "codes", "held", "index", "times", "pairs", "docs")
+
+
+def _pack(values: np.ndarray) -> bytes:
+    """The width that holds all of the values, none below zero, and their bytes."""
+    most = int(values.max(initial=0))
+    width = next(w for w in (1, 2, 4, 8) if most < 1 << 8 * w)
+    return bytes([width]) + values.astype(f"<u{width}").tobytes()
+
+
+def _unpack(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
 
 
 def align_texts(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
@@ -275,7 +286,7 @@ def align_texts(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         for part, texts in slices(batches, limit=SLICE):
             found = {"doc_id": part.column("doc_id"), **aligner.slice(texts)}
             lists = [pa.array([pa.array(found[c]).to_pylist()], pa.list_(pa.string() if k == "string" else pa.int64())) for c, k in _LISTS.items()]
-            blobs = [pa.array([found[c].astype(k).tobytes()], pa.binary()) for c, k in _BLOBS.items()]
+            blobs = [pa.array([_pack(found[c])], pa.binary()) for c in _BLOBS]
             yield pa.RecordBatch.from_arrays([*lists, *blobs], names=[*_LISTS, *_BLOBS])
             del found, lists, blobs
             pa.default_memory_pool().release_unused()
@@ -290,10 +301,10 @@ def pair_counts(aligned: DataFrame) -> DataFrame:
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, pairs, docs in zip(*(batch.column(c).to_pylist() for c in ("slice", "pairs", "docs"))):
-                pair, held = np.frombuffer(pairs, "<i8"), np.frombuffer(docs, "<u4")
+                pair, held = _unpack(pairs), _unpack(docs)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.full(len(pair), number)), pa.array(np.arange(len(pair), dtype=np.int32)),
-                    pa.array((pair >> 32).astype(np.int32)), pa.array((pair & 0xFFFFFFFF).astype(np.int32)), pa.array(held.astype(np.int64)),
+                    pa.array((pair >> 32).astype(np.int32)), pa.array((pair & 0xFFFFFFFF).astype(np.int32)), pa.array(held),
                 ], names=["slice", "place", "a", "b", "docs"])
 
     return aligned.select("slice", "pairs", "docs").mapInArrow(unpack, "slice long, place int, a int, b int, docs long")
@@ -301,15 +312,15 @@ def pair_counts(aligned: DataFrame) -> DataFrame:
 
 def _finish(slices_: pa.Table, counts: pa.Table) -> pa.Table:
     """Documents of one slice with the sums over their links."""
-    row = {c: np.frombuffer(slices_.column(c)[0].as_py(), k) for c, k in _BLOBS.items()}
+    row = {c: _unpack(slices_.column(c)[0].as_py()) for c in _BLOBS if c != "docs"}
     count, best = np.zeros(len(row["pairs"]), np.int64), np.zeros(len(row["pairs"]), np.int64)
     place = counts.column("place").to_numpy()
     count[place], best[place] = counts.column("count").to_numpy(), counts.column("best").to_numpy()
-    ends = np.concatenate(([0], np.cumsum(row["held"], dtype=np.int64)))
-    times = row["times"].astype(np.int64)
+    ends = np.concatenate(([0], np.cumsum(row["held"])))
+    times = row["times"]
     score = sums_between(times * count[row["index"]], ends)
     top = sums_between(times * (count == best)[row["index"]], ends)
-    bounds = row["bounds"].astype(np.int64)
+    bounds = row["bounds"]
     out = {c: slices_.column(c).combine_chunks().flatten() for c in _LISTS}
     out["n_best"] = pa.array(sums_between(top[row["codes"]], bounds))
     out["count_sum"] = pa.array(sums_between(score[row["codes"]], bounds))
@@ -334,5 +345,5 @@ def align_tokenizers(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     facts = counts.join(best, "a")
     scored = attach_by_key(held.drop("docs"), facts, ["a", "b"], "_slices").select("slice", "place", "count", "best")
     schema = ", ".join(f"{c} {k}" for c, k in _LISTS.items()) + ", n_best long, count_sum long"
-    done = aligned.groupBy("slice").cogroup(scored.groupBy("slice")).applyInArrow(_finish, schema)
+    done = aligned.drop("docs").groupBy("slice").cogroup(scored.groupBy("slice")).applyInArrow(_finish, schema)
     return done.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
