@@ -143,10 +143,13 @@ def training_sample(docs: DataFrame, rows: int = SAMPLE_ROWS) -> tuple[list[str]
         usable.withColumn("place", F.row_number().over(first)).where(F.col("place") <= rows)
         .orderBy("place", "lang").limit(rows).select("doc_id", F.col("lang").alias("is_lang"))
     )
-    # at most ``rows`` ids, so this side may be broadcast
+    # at most ``rows`` ids, so this side may be broadcast; a row is learned from under its own language only
     texts = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        .join(F.broadcast(ids.distinct()), "doc_id").where(F.col("text").isNotNull())
+        docs.select(
+            F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("is_lang"),
+            F.col("text").cast("string").alias("text"),
+        )
+        .join(F.broadcast(ids.distinct()), ["doc_id", "is_lang"]).where(F.col("text").isNotNull())
         .orderBy("doc_id", "is_lang", "text").limit(rows).collect()
     )
     return [r["text"] for r in texts], [r["is_lang"] for r in texts]

@@ -16,6 +16,11 @@ from pyspark.sql import functions as F
 from feedmill.session import stage
 
 
+def lower_ascii(text: Column) -> Column:
+    """A-Z in lower case, all other letters as they are."""
+    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
 def split_url(url: Column) -> tuple[Column, Column]:
     """(host, path) of a url: after the first ``://`` up to ``/ ? #``, then up to ``? #``; else empty."""
     url = F.coalesce(url.cast("string"), F.lit(""))
@@ -23,8 +28,7 @@ def split_url(url: Column) -> tuple[Column, Column]:
     rest = F.when(at > 0, F.substr(url, at + 3)).otherwise(F.lit(""))
     host = F.regexp_extract(rest, r"(?s)^([^/?#]*)", 1)
     path = F.regexp_extract(rest, r"(?s)^[^/?#]*([^?#]*)", 1)
-    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    return F.translate(host, upper, lower), path
+    return lower_ascii(host), path
 
 
 def host_key(host: Column) -> Column:
@@ -102,7 +106,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, otherwise: str = "allow") ->
     host, path = split_url(F.col("url"))
     judged = pages.select(F.col("page_id").cast("long").alias("page_id"), host.alias("host"), path.alias("path"))
     rules = (
-        rules.select(F.lower(F.coalesce("host", F.lit(""))).alias("rule_host"), F.coalesce("path", F.lit("")).alias("rule_path"), "verdict")
+        rules.select(lower_ascii(F.coalesce("host", F.lit(""))).alias("rule_host"), F.coalesce("path", F.lit("")).alias("rule_path"), "verdict")
         .groupBy("rule_host", "rule_path").agg(F.min("verdict").alias("verdict"))
         .withColumn("rule_key", host_key(F.col("rule_host")))
     )

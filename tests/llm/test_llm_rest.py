@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pytest
 
 import corpus_pipeline
-from feedmill.llm import ann, exact_dedup, mixing, packing, quality, simhash, url_rules
+from feedmill.llm import ann, exact_dedup, language, mixing, packing, quality, simhash, url_rules
 from feedmill.llm.queries import QUERIES, SQL, URL_RULES, tokenizer_file
 from feedmill.operators.components import connected_components
 from feedmill.queries.tables import Query
@@ -202,3 +204,17 @@ def test_pipeline_stages_equal_their_operators(spark):
 def test_queries_against_sql(spark, name):
     difference, rows = compare(spark, connect(SF), Query(QUERIES[name], SQL[name]), SF)
     assert not difference and rows
+
+
+def test_url_rules_lower_only_ascii(spark):
+    pages = spark.createDataFrame([(1, "http://x.É.co/a"), (2, "http://x.é.co/a"), (3, "http://X.B.CO/a")], "page_id long, url string")
+    rules = spark.createDataFrame([("É.co", "", "block"), ("B.co", "", "block")], "host string, path string, verdict string")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in url_rules.judge_urls(pages, rules).collect()}
+    assert got == {1: ("É.co/", "block"), 2: (None, "allow"), 3: ("b.co/", "block")}
+
+
+def test_language_learns_rows_under_their_own_language(spark):
+    rows = [(1, "one", "en"), (1, "zwei", None), (1, "drei", "de"), (2, "two", "en"), (2, "two again", "en")]
+    rows = [(i, t, x) for i, t, x in rows if zlib.crc32(str(i).encode()) % 5]
+    texts, langs = language.training_sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert set(zip(texts, langs)) == {(t, x) for _, t, x in rows if x}
