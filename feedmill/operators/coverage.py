@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from feedmill.functions.variant import fields_of
 from feedmill.operators.dedup import keep_one
-from feedmill.operators.joins import bounded_broadcast
+from feedmill.operators.joins import bounded_broadcast, join_any
 
 
 def file_columns(raw: DataFrame) -> DataFrame:
@@ -37,22 +37,29 @@ def fields_by_table(columns: DataFrame, schemas: DataFrame) -> DataFrame:
     return paired.withColumn("target_table", F.explode("_tables")).drop("_tables")
 
 
+def column_hits(columns: DataFrame, mappings: DataFrame) -> DataFrame:
+    """(file_name, target_table, source_column, target_column) of columns with an approved mapping.
+
+    Columns meet mappings by name: those of the file's provider and those of all
+    providers are two joins, so a name mapped by many providers meets only one of them.
+    """
+    approved = bounded_broadcast(mappings.filter("approved AND mapping_id IS NOT NULL").select(
+        F.upper(F.trim("source_field")).alias("_field"), "target_table",
+        F.col("tpa").alias("_tpa"), "target_column",
+    ))
+    same_name = F.upper(F.trim("source_column")) == F.col("_field")
+    found = join_any(columns, approved, [same_name & (F.col("_tpa") == F.col("tpa")), same_name & F.col("_tpa").isNull()])
+    return found.select("file_name", "target_table", "source_column", "target_column")
+
+
 def file_mapping_coverage(raw: DataFrame, schemas: DataFrame, mappings: DataFrame) -> DataFrame:
     """Per (file, target table): columns mapped and unmapped, percent, status, column lists.
 
-    Columns meet mappings by name, so only hits are joined and grouped; a file is
-    then listed once per table, with its hits there, if any.
+    Only hits are joined and grouped; a file is then listed once per table, with its
+    hits there, if any.
     """
     columns = file_columns(raw)
-    approved = mappings.filter("approved AND mapping_id IS NOT NULL").select(
-        F.upper(F.trim("source_field")).alias("_field"), "target_table",
-        F.col("tpa").alias("_tpa"), "target_column",
-    )
-    hits = columns.join(
-        bounded_broadcast(approved),
-        (F.upper(F.trim("source_column")) == F.col("_field"))
-        & (F.col("_tpa").isNull() | (F.col("_tpa") == F.col("tpa"))),
-    ).groupBy("file_name", "target_table").agg(
+    hits = column_hits(columns, mappings).groupBy("file_name", "target_table").agg(
         F.array_sort(F.collect_set("source_column")).alias("mapped"),
         F.array_sort(F.collect_set("target_column")).alias("targets"),
     )
@@ -77,12 +84,31 @@ def file_mapping_coverage(raw: DataFrame, schemas: DataFrame, mappings: DataFram
     )
 
 
-def coverage_summary(coverage: DataFrame) -> DataFrame:
-    return coverage.agg(
-        F.count(F.lit(1)).alias("files"),
-        F.avg("mapping_coverage_pct").alias("avg_coverage_pct"),
-        F.count_if(F.col("coverage_status") == "Good").alias("good_files"),
-        F.count_if(F.col("coverage_status") == "Poor").alias("poor_files"),
+def coverage_summary(raw: DataFrame, schemas: DataFrame, mappings: DataFrame) -> DataFrame:
+    """Number of (file, target table) pairs, mean coverage, good and poor ones.
+
+    Equals a summary of ``file_mapping_coverage`` without listing its pairs: those
+    with a hit are counted, all others have no coverage and are poor.
+    """
+    columns = file_columns(raw)
+    tables = schemas.filter("active").select(F.col("table_name").alias("target_table")).distinct()
+    files = columns.groupBy("file_name").agg(F.count_distinct("source_column").alias("total"))
+    hits = (
+        column_hits(columns, mappings).join(tables, "target_table", "left_semi")
+        .groupBy("file_name", "target_table").agg(F.count_distinct("source_column").alias("mapped"))
+        .join(files, "file_name")
+        .select(F.round(F.col("mapped") * 100.0 / F.col("total"), 2).alias("percent"))
+    )
+    facts = hits.agg(
+        F.count(F.lit(1)).alias("hits"), F.sum("percent").alias("percents"),
+        F.count_if(F.col("percent") >= 80).alias("good_files"), F.count_if(F.col("percent") < 50).alias("poor"),
+    )
+    count = lambda rows: rows.agg(F.count(F.lit(1))).scalar()
+    return facts.withColumn("files", count(files) * count(tables)).select(
+        "files",
+        F.when(F.col("files") > 0, F.coalesce("percents", F.lit(0.0)) / F.col("files")).alias("avg_coverage_pct"),
+        "good_files",
+        (F.col("poor") + F.col("files") - F.col("hits")).alias("poor_files"),
     )
 
 

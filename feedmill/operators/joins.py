@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -110,6 +112,20 @@ def effective_mappings(mappings: DataFrame, tpa: str | None = None) -> DataFrame
     )
 
 
+def join_any(left: DataFrame, right: DataFrame, branches: list[Column]) -> DataFrame:
+    """Inner join on ``branches[0] OR branches[1] OR ...``, one equi join per branch.
+
+    A disjunction has no key to hash or shuffle by, but each branch, an AND with at
+    least one equality, does. A pair that fits several branches comes from the first
+    of them; a branch that is NULL does not hold. Column names of the sides differ.
+    """
+    found = []
+    for place, branch in enumerate(branches):
+        fresh = [~F.coalesce(earlier, F.lit(False)) for earlier in branches[:place]]
+        found.append(left.join(right, _all([branch, *fresh])))
+    return reduce(DataFrame.unionByName, found)
+
+
 def bounded_broadcast(df: DataFrame, limit: int = METADATA_ROWS) -> DataFrame:
     """Broadcast ``df`` only if it has at most ``limit`` rows; else leave the choice to AQE."""
     return F.broadcast(df) if is_small(df, limit) else df

@@ -334,13 +334,18 @@ REPORTS = {
         sql("metrics", """SELECT round(avg(CASE WHEN pass_fail = 'PASS' THEN CAST(100 AS DOUBLE) ELSE 0 END), 4) AS quality_score,
             count(DISTINCT table_name) AS tables_monitored FROM metrics""")),
     "rep_18_coverage_summary": Query(
-        lambda s, d: shown(coverage.coverage_summary(_coverage(s, d))),
+        lambda s, d: shown(coverage.coverage_summary(T.raw(s, d), *coverage_metadata(s, d))),
         coverage_sql(f"""SELECT count(*) AS files, round(avg(mapping_coverage_pct), 4) AS avg_coverage_pct,
             count(CASE WHEN {_STATUS} = 'Good' THEN 1 END) AS good_files, count(CASE WHEN {_STATUS} = 'Poor' THEN 1 END) AS poor_files FROM cov""")),
     "rep_19_unmapped_columns": Query(
         lambda s, d: shown(coverage.unmapped_source_columns(_coverage(s, d))),
         coverage_sql("""SELECT file_name, target_table,
             array_to_string(list_filter(all_list, lambda x: NOT list_contains(mapped_list, x)), '|') AS unmapped_column_list FROM cov""")),
+    "join_12_column_hits": Query(
+        lambda s, d: coverage.column_hits(coverage.file_columns(T.raw(s, d)), coverage_metadata(s, d)[1]).groupBy(
+            "file_name", "target_table").agg(F.count(F.lit(1)).alias("hits"), F.min("target_column").alias("first_target")),
+        coverage_sql("""SELECT file_name, target_table, count(*) AS hits, min(target_column) AS first_target
+            FROM pairs WHERE target_column IS NOT NULL GROUP BY file_name, target_table""")),
     "rep_20_field_inventory": Query(
         lambda s, d: mapping.field_inventory(T.raw(s, d)),
         sql("raw", """SELECT source_field_name, count(*) AS occurrence_count, count(DISTINCT file_name) AS file_count FROM (

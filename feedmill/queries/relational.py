@@ -265,14 +265,16 @@ def _new_listing(s, d):
 def _theta(s, d):
     """Fields of every provider against mappings of that provider or of all."""
     approved = T.mappings(s, d).filter("approved")
+    fields = approved.select(F.col("source_field").alias("field")).distinct()
+    same_name = F.upper(F.trim("field")) == F.upper(F.trim("source_field"))
+    found = fields.join(approved.select("source_field", F.col("tpa").alias("_tpa"), "mapping_id"), same_name)
+    # hits of all providers and of one are counted apart; fields are listed per provider, as asked, after that
+    everywhere = found.filter("_tpa IS NULL").groupBy("field").agg(F.count("mapping_id").alias("_all"))
+    own = found.filter("_tpa IS NOT NULL").groupBy(F.col("_tpa").alias("tpa"), "field").agg(F.count("mapping_id").alias("_own"))
     tpas = T.load(s, d, "part").agg(F.collect_set(F.lower("p_type")).alias("tpas")).scalar()
-    fields = approved.select(F.col("source_field").alias("field")).distinct().withColumn("_tpas", tpas)
-    fields = fields.withColumn("tpa", F.explode("_tpas")).drop("_tpas")
-    wanted = approved.select(
-        F.upper(F.trim("source_field")).alias("_f"), F.col("tpa").alias("_tpa"), "mapping_id")
-    hit = (F.upper(F.trim("field")) == F.col("_f")) & ((F.col("_tpa") == F.col("tpa")) | F.col("_tpa").isNull())
-    return fields.join(joins.bounded_broadcast(wanted), hit, "left").groupBy("tpa", "field").agg(
-        F.count("mapping_id").alias("hits"))
+    listed = fields.join(everywhere, "field", "left").withColumn("_tpas", tpas)
+    listed = listed.withColumn("tpa", F.explode("_tpas")).join(own, ["tpa", "field"], "left")
+    return listed.select("tpa", "field", (F.coalesce("_all", F.lit(0)) + F.coalesce("_own", F.lit(0))).alias("hits"))
 
 
 AGGREGATES = {

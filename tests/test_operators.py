@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedmill.functions import dates, dialect, paths, text
-from feedmill.operators import dedup, joins, limits, mapping, merge, quality, rules, suggestions
+from feedmill.operators import coverage, dedup, joins, limits, mapping, merge, quality, rules, suggestions
 from feedmill.plans import silver
 from feedmill.sources import config_files, tabular
 
@@ -167,11 +167,12 @@ def test_responses(spark):
         (1, '[{"source_field":"a","target_field":"T.B","confidence":0.9,"reasoning":"r"}]'),
         (2, 'Sure!\n```json\n[{"source_field":"a","target_field":"T.B","confidence":0.5}]\n```'),
         (3, 'x {"source_field":"a","target_field":"T.B","confidence":0.1} y {"source_field":"c","target_field":"T.D","confidence":1}'),
-        (4, "no idea"), (5, '{"a": 1'), (6, "[]"),
+        (4, "no idea"), (5, '{"a": 1'), (6, "[]"), (7, None), (8, "] none ["),
+        (9, 'see [1] {"note": {"source_field":"a","target_field":"T.B"}} [2]'),
     ]
     df = spark.createDataFrame(answers, "id int, response string")
     found = suggestions.read_responses(df).collect()
-    assert Counter(r.id for r in found) == {1: 1, 2: 1, 3: 2}
+    assert Counter(r.id for r in found) == {1: 1, 2: 1, 3: 2, 9: 1}
 
 
 def test_rules_equal_sequential_evaluation(spark):
@@ -358,3 +359,52 @@ def test_predicates_match_whole_operators():
     assert predicate("x", "NOT IN (1, 2)") == "x NOT IN (1, 2)"
     assert predicate("x", "IS NOT NULL") == "x IS NOT NULL"
     assert predicate("x", "BETWEEN 1 AND 2") == "x BETWEEN 1 AND 2"
+
+
+@pytest.mark.parametrize("offset", [0, 50, 299, 1000, 2990, 3000, 5000])
+def test_deep_page_equals_plain_page(spark, monkeypatch, skewed, offset):
+    monkeypatch.setattr(limits, "_RANGES", 8)
+    rows, df = skewed
+    # a third of the rows share the first key and some have none
+    order = [F.desc_nulls_last("key"), F.asc("raw_id")]
+    wanted = [r.raw_id for r in df.orderBy(*order).offset(offset).limit(25).collect()]
+    assert [r.raw_id for r in limits.page(df, order, 25, offset, deep=40).collect()] == wanted
+
+
+def test_deep_page_in_equal_rows(spark, monkeypatch):
+    monkeypatch.setattr(limits, "_RANGES", 4)
+    df = spark.range(200).select(F.lit(1).alias("k"), "id")
+    assert limits.page(df, [F.asc("k")], 10, 150, deep=20).count() == 10
+    assert limits.page(df.limit(0), [F.asc("k")], 10, 150, deep=20).count() == 0
+
+
+def test_join_any_lists_a_pair_once(spark):
+    rng = random.Random(4)
+    pick = lambda: rng.choice([None, 1, 2, 3])
+    left = [(i, pick(), pick()) for i in range(40)]
+    right = [(i, pick(), pick()) for i in range(30)]
+    got = joins.join_any(
+        spark.createDataFrame(left, "i int, a int, b int"), spark.createDataFrame(right, "j int, c int, d int"),
+        [F.col("a") == F.col("c"), F.col("b") == F.col("d"), (F.col("a") == F.col("d")) & F.col("c").isNull()],
+    ).collect()
+    same = lambda x, y: x is not None and x == y
+    wanted = Counter((i, j) for i, a, b in left for j, c, d in right if same(a, c) or same(b, d) or (same(a, d) and c is None))
+    assert Counter((r.i, r.j) for r in got) == wanted
+
+
+@pytest.mark.parametrize("tables", [["T", "U", "V"], []])
+def test_coverage_summary_equals_the_listed_pairs(spark, tables):
+    raw = spark.sql("""SELECT * FROM VALUES (1, 'f', 'p', '{"a":1,"b":2}'), (2, 'g', 'q', '{" A ":1}'), (3, 'h', NULL, '{"c":1}')
+        AS t(raw_id, file_name, tpa, j)""").selectExpr("raw_id", "file_name", "tpa", "current_timestamp() AS load_timestamp", "parse_json(j) AS raw_data")
+    schemas = spark.createDataFrame([(t, True) for t in tables] + [("W", False)], "table_name string, active boolean")
+    mappings = spark.createDataFrame(
+        [(1, "A", "T", "X", None, True), (2, "a", "T", "Y", "p", True), (3, "B", "U", "X", "q", True), (4, "b", "T", "Z", "p", True),
+         (5, "c", "W", "X", None, True), (6, "c", "V", "X", None, False), (None, "c", "V", "X", None, True)],
+        "mapping_id int, source_field string, target_table string, target_column string, tpa string, approved boolean")
+    pairs = coverage.file_mapping_coverage(raw, schemas, mappings).collect()
+    got = coverage.coverage_summary(raw, schemas, mappings).first()
+    assert got.files == len(pairs) == 3 * len(tables)
+    assert got.good_files == sum(r.coverage_status == "Good" for r in pairs)
+    assert got.poor_files == sum(r.coverage_status == "Poor" for r in pairs)
+    mean = sum(r.mapping_coverage_pct for r in pairs) / len(pairs) if pairs else None
+    assert got.avg_coverage_pct == (pytest.approx(mean) if pairs else None)
