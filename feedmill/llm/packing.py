@@ -29,6 +29,7 @@ from feedmill.session import drop_staged, stage
 WINDOW = 4096
 END = 2
 SHARD_BYTES = 8 << 20
+SLICE_BYTES = 1 << 20  # of encoded documents that are counted or sketched together
 SKETCH = 64  # components of a document's sketch
 SKETCH_HASHES = 2  # components that a token adds to
 SAMPLE_ROWS = 1 << 18  # most sketches the tree is trained on
@@ -290,7 +291,7 @@ def _token_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBat
         ends = np.cumsum(pc.binary_length(batch.column("ids")).to_numpy(zero_copy_only=False))
         start = 0
         while start < batch.num_rows:
-            stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + SHARD_BYTES, "right")))
+            stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + SLICE_BYTES, "right")))
             rows = batch.slice(start, stop - start)
             widths = rows.column("width").to_numpy()
             parts = [np.frombuffer(b, f"<u{w}").astype(np.int64) for b, w in zip(rows.column("ids").to_pylist(), widths)]
