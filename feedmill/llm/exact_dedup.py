@@ -1,11 +1,16 @@
 """Exact duplicates by counting quotient filters and byte verification.
 
 Every partition builds a counting quotient filter of the 64-bit fingerprints of
-its normalised texts: the high bits (quotient) name a slot, the low bits
-(remainder) lie sorted in it with their counts. A filter is cut at quotient
-ranges, so filters merge losslessly range by range: sorted remainders are merged
-and equal ones add their counts. A fingerprint of count one is a single text.
-The texts of all others are grouped by their bytes.
+its normalised texts. The high bits of a fingerprint, its quotient, are not stored:
+one bit per quotient tells whether it is occupied, and the remainders of a quotient
+lie sorted in a run of slots whose last one carries a run-end bit. The run of a
+quotient is found by its rank among the occupied ones. A fingerprint that occurs
+more than once is followed by slots that carry a counter bit and hold the digits of
+its count. A filter is written once, so its runs lie back to back without free slots.
+
+Filters are cut at ranges of quotients, so they merge losslessly range by range:
+sorted remainders are merged and equal ones add their counts. A fingerprint of
+count one is a single text. The texts of all others are grouped by their bytes.
 """
 
 from __future__ import annotations
@@ -19,11 +24,9 @@ from pyspark.sql import functions as F
 
 from feedmill.session import stage
 
-QUOTIENT_BITS = 16
-REMAINDER_BITS = 64 - QUOTIENT_BITS
 FILTER_ROWS = 1 << 20  # fingerprints in one filter, and about as many in one merged range
 
-_FILTER = "range int, slots binary, remainders binary, counts binary"
+_FILTER = "range int, slots int, quotient_bits int, occupied binary, run_ends binary, counters binary, remainders binary"
 
 
 def normalised(text: Column) -> Column:
@@ -32,47 +35,99 @@ def normalised(text: Column) -> Column:
 
 
 def _entries(prints: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct fingerprints with summed counts: quotient order, remainders sorted within."""
-    values, where = np.unique(prints, return_inverse=True)
-    return values, np.bincount(where, counts, len(values)).astype(np.int64)
+    """Distinct fingerprints in order, with summed counts. Sorted stretches are merged, not sorted anew."""
+    order = np.argsort(prints, kind="stable")
+    prints, counts = prints[order], counts[order]
+    first = np.flatnonzero(np.append(True, prints[1:] != prints[:-1])[: len(prints)])
+    return prints[first], np.add.reduceat(counts, first) if len(first) else counts
+
+
+def _pack(values: np.ndarray, bits: int) -> bytes:
+    """The low ``bits`` bits of each value, one after the other."""
+    wide = np.unpackbits(values.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+    return np.packbits(wide[:, 64 - bits:]).tobytes()
+
+
+def _unpack(packed: bytes, number: int, bits: int) -> np.ndarray:
+    wide = np.zeros((number, 64), np.uint8)
+    wide[:, 64 - bits:] = np.unpackbits(np.frombuffer(packed, np.uint8), count=number * bits).reshape(number, bits)
+    return np.packbits(wide, axis=1).view(">u8")[:, 0].astype(np.uint64)
+
+
+def write_filter(prints: np.ndarray, counts: np.ndarray, width: int) -> tuple[int, int, bytes, bytes, bytes, bytes]:
+    """A filter of distinct fingerprints of ``width`` bits in order, each counted at least once.
+
+    (number of slots, quotient bits, occupied, run ends, counters, remainders). The
+    number of quotients is the largest power of two up to that of the fingerprints.
+    """
+    quotient_bits = min(len(prints).bit_length(), width) - 1
+    bits = width - quotient_bits
+    low = np.uint64((1 << bits) - 1)
+    quotient = (prints >> np.uint64(bits)).astype(np.int64)
+    occupied = np.zeros(1 << quotient_bits, np.uint8)
+    occupied[quotient] = 1
+    # the count above one, in digits of as many bits as a remainder has
+    more = (counts - 1).astype(np.uint64)
+    digits, rest = np.zeros(len(prints), np.int64), more.copy()
+    while rest.any():
+        digits += rest > 0
+        rest >>= np.uint64(bits)
+    slot = np.arange(len(prints)) + np.cumsum(digits) - digits
+    held = np.zeros(len(prints) + int(digits.sum()), np.uint64)
+    counter = np.ones(len(held), np.uint8)
+    held[slot], counter[slot] = prints & low, 0
+    for place in range(int(digits.max())):
+        long = digits > place
+        held[slot[long] + 1 + place] = more[long] >> np.uint64(place * bits) & low
+    run_end = np.zeros(len(held), np.uint8)
+    run_end[(slot + digits)[np.append(quotient[1:] != quotient[:-1], True)]] = 1
+    return (
+        len(held), quotient_bits, np.packbits(occupied).tobytes(), np.packbits(run_end).tobytes(),
+        np.packbits(counter).tobytes(), _pack(held, bits),
+    )
+
+
+def read_filter(
+    slots: int, quotient_bits: int, occupied: bytes, run_ends: bytes, counters: bytes, remainders: bytes, width: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """The fingerprints of a filter in order, and their counts."""
+    bits = width - quotient_bits
+    held = _unpack(remainders, slots, bits)
+    run_end = np.unpackbits(np.frombuffer(run_ends, np.uint8), count=slots).astype(np.int64)
+    slot = np.flatnonzero(np.unpackbits(np.frombuffer(counters, np.uint8), count=slots) == 0)
+    quotients = np.flatnonzero(np.unpackbits(np.frombuffer(occupied, np.uint8), count=1 << quotient_bits))
+    # the runs that end before a slot are as many as the occupied quotients before its own
+    quotient = quotients[(np.cumsum(run_end) - run_end)[slot]].astype(np.uint64)
+    digits = np.diff(np.append(slot, slots)) - 1
+    counts = np.ones(len(slot), np.int64)
+    for place in range(int(digits.max())):
+        long = digits > place
+        counts[long] += (held[slot[long] + 1 + place] << np.uint64(place * bits)).astype(np.int64)
+    return quotient << np.uint64(bits) | held[slot], counts
 
 
 def _write(prints: np.ndarray, counts: np.ndarray, range_bits: int) -> pa.RecordBatch:
-    """The filter's ranges: quotient of each entry, remainder of each entry, count of each entry."""
-    of_range = (prints >> np.uint64(64 - range_bits)).astype(np.int64)
+    """One filter for each range of quotients; the bits of the range are left out of it."""
+    width = 64 - range_bits
+    of_range = (prints >> np.uint64(width)).astype(np.int64)
     ranges, first = np.unique(of_range, return_index=True)
-    parts = list(zip(first, [*first[1:], len(prints)]))
-    low = np.uint64((1 << REMAINDER_BITS) - 1)
-    return pa.RecordBatch.from_arrays([
-        pa.array(ranges, pa.int32()),
-        pa.array([(prints[a:b] >> np.uint64(REMAINDER_BITS)).astype("<u2").tobytes() for a, b in parts], pa.binary()),
-        pa.array([
-            (prints[a:b] & low).astype("<u8").view(np.uint8).reshape(-1, 8)[:, : REMAINDER_BITS // 8].tobytes()
-            for a, b in parts
-        ], pa.binary()),
-        pa.array([counts[a:b].astype("<u4").tobytes() for a, b in parts], pa.binary()),
-    ], names=["range", "slots", "remainders", "counts"])
-
-
-def _read(slots: bytes, remainders: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
-    quotient = np.frombuffer(slots, "<u2").astype(np.uint64)
-    low = np.zeros((len(quotient), 8), np.uint8)
-    low[:, : REMAINDER_BITS // 8] = np.frombuffer(remainders, np.uint8).reshape(len(quotient), -1)
-    return (quotient << np.uint64(REMAINDER_BITS)) | low.view("<u8")[:, 0], np.frombuffer(counts, "<u4").astype(np.int64)
-
-
-def _merge(table: pa.Table) -> pa.Table:
+    own = prints & np.uint64((1 << width) - 1)
+    filters = [write_filter(own[a:b], counts[a:b], width) for a, b in zip(first, [*first[1:], len(prints)])]
+    kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 4]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(ranges, pa.int32()), *[pa.array(column, kind) for column, kind in zip(zip(*filters), kinds)]],
+        names=["range", "slots", "quotient_bits", "occupied", "run_ends", "counters", "remainders"],
+    )
+
+
+def _merge(table: pa.Table, range_bits: int) -> pa.Table:
     """One range of all filters: remainders merged, counts added; the fingerprints counted more than once."""
-    prints, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    for batch in table.to_batches():
-        parts = [
-            _read(*(batch.column(c)[i].as_py() for c in ("slots", "remainders", "counts")))
-            for i in range(batch.num_rows)
-        ]
-        prints, counts = _entries(
-            np.concatenate([prints, *[p for p, _ in parts]]), np.concatenate([counts, *[c for _, c in parts]])
-        )
-    return pa.table({"fingerprint": prints[counts > 1].view(np.int64)})
+    width = 64 - range_bits
+    columns = [table.column(c) for c in table.column_names[1:]]
+    parts = [read_filter(*(c[i].as_py() for c in columns), width) for i in range(table.num_rows)]
+    prints, counts = _entries(*(np.concatenate(column) for column in zip(*parts)))
+    of_range = np.uint64(table.column("range")[0].as_py()) << np.uint64(width)
+    return pa.table({"fingerprint": (prints[counts > 1] | of_range).view(np.int64)})
 
 
 def repeated_fingerprints(rows: DataFrame) -> DataFrame:
@@ -82,7 +137,7 @@ def repeated_fingerprints(rows: DataFrame) -> DataFrame:
     that a merged range holds about FILTER_ROWS entries at every size; a
     fingerprint of any number of rows is one entry of each filter.
     """
-    range_bits = min(QUOTIENT_BITS, max(4, (2 * rows.count() // FILTER_ROWS).bit_length()))
+    range_bits = max(4, (2 * rows.count() // FILTER_ROWS).bit_length())
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, number = [], 0
@@ -96,7 +151,7 @@ def repeated_fingerprints(rows: DataFrame) -> DataFrame:
             yield _write(*_entries(np.concatenate(held), np.ones(number, np.int64)), range_bits)
 
     filters = rows.select("fingerprint").mapInArrow(build, _FILTER)
-    return filters.groupBy("range").applyInArrow(_merge, "fingerprint long")
+    return filters.groupBy("range").applyInArrow(lambda table: _merge(table, range_bits), "fingerprint long")
 
 
 def _split(docs: DataFrame) -> tuple[DataFrame, DataFrame]:

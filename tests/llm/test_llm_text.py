@@ -278,6 +278,25 @@ def test_filters_merge_losslessly(monkeypatch, spark):
     assert sorted(got) == sorted(p for p, n in Counter(prints).items() if n > 1)
 
 
+@pytest.mark.parametrize("width", [60, 12])
+@pytest.mark.parametrize("number", [1, 2, 3, 400, 3000])
+def test_filter_round_trip(width, number):
+    rng = np.random.default_rng(number)
+    prints = np.unique(np.append(rng.integers(0, 1 << width, number, dtype=np.uint64), [np.uint64(0), np.uint64((1 << width) - 1)]))
+    counts = np.where(rng.random(len(prints)) < 0.8, 1, rng.integers(1, 1 << 40, len(prints)))
+    got = exact_dedup.read_filter(*exact_dedup.write_filter(prints, counts, width), width)
+    assert (got[0] == prints).all() and (got[1] == counts).all()
+
+
+def test_filter_is_smaller_than_its_fingerprints():
+    rng = np.random.default_rng(1)
+    for number in (1000, 1 << 15, (1 << 16) - 1):
+        prints = np.unique(rng.integers(0, 1 << 60, number, dtype=np.uint64))
+        counts = np.where(rng.random(len(prints)) < 0.05, 1000, 1)
+        size = sum(map(len, exact_dedup.write_filter(prints, counts, 60)[2:]))
+        assert size < 0.95 * 8 * len(prints)
+
+
 def test_mix(spark, docs, odd, odd_rows, empty):
     for table in (docs, odd):
         got = mixing.mix(table).collect()
