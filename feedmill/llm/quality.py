@@ -29,6 +29,7 @@ REPEATED = 0xA0761D6478BD642F
 SAMPLE_PER_CLASS = 400
 EPOCHS = 6
 RATE = 2.0
+TRAINED_AT_ONCE = 16  # texts whose features, or 1024 times as many buckets whose vectors, are made together
 
 
 def _spread(values: np.ndarray) -> np.ndarray:
@@ -123,10 +124,17 @@ def train(texts: list[str | None], labels: list[int], prior: float | None = None
     if not labels or ones in (0, len(labels)):
         return np.zeros(size, np.float32), 0.0 if not labels else (5.0 if ones else -5.0)
     rng = np.random.default_rng(seed)
-    vectors = rng.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (size, DIMENSIONS)).astype(np.float32)
+    vectors = np.empty((size, DIMENSIONS), np.float32)
+    for i in range(0, size, TRAINED_AT_ONCE << 10):
+        part = vectors[i: i + (TRAINED_AT_ONCE << 10)]
+        part[:] = rng.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, part.shape)
     layer = np.zeros((DIMENSIONS, 2), np.float32)
     bias = np.zeros(2, np.float32)
-    docs = document_features(texts)
+    # the driver trains, so it holds the words of few texts at a time
+    docs = [
+        (buckets.astype(np.int32), counts.astype(np.int32))
+        for i in range(0, len(texts), TRAINED_AT_ONCE) for buckets, counts in document_features(texts[i: i + TRAINED_AT_ONCE])
+    ]
     steps, done = EPOCHS * len(docs), 0
     for _ in range(EPOCHS):
         for i in rng.permutation(len(docs)):
