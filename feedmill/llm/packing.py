@@ -33,6 +33,7 @@ SLICE_BYTES = 1 << 20  # of encoded documents that are counted or sketched toget
 SKETCH = 64  # components of a document's sketch
 SKETCH_HASHES = 2  # components that a token adds to
 SAMPLE_ROWS = 1 << 18  # most sketches the tree is trained on
+BLOCK_ROWS = 1 << 13  # of sketches the driver widens together
 ROWS_PER_SHARD = 16  # least sampled sketches per leaf of the tree
 K1, B = 1.2, 0.75
 STEPS = 256  # of a BM25 weight, which is below 128
@@ -220,26 +221,42 @@ def sketches(ids: np.ndarray, bounds: np.ndarray, idf: np.ndarray) -> np.ndarray
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
 
 
+def _blocks(rows: np.ndarray, held: np.ndarray) -> Iterator[np.ndarray]:
+    """The rows of the numbers ``held`` as doubles, a bounded number at a time."""
+    for start in range(0, len(held), BLOCK_ROWS):
+        yield rows[held[start: start + BLOCK_ROWS]].astype(np.float64)
+
+
+def widest_axis(rows: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """Direction in which the rows ``held`` differ most."""
+    mean = sum(block.sum(axis=0) for block in _blocks(rows, held)) / len(held)
+    spread = sum((block - mean).T @ (block - mean) for block in _blocks(rows, held))
+    return np.linalg.eigh(spread)[1][:, -1]
+
+
 class ShardTree:
     """Hyperplanes that cut sketches into leaves of like documents and equal weight."""
 
     def __init__(self, rows: np.ndarray, weights: np.ndarray, leaves: int):
-        """``leaves`` cuts of the weight, each across the direction in which its sketches differ most."""
+        """``leaves`` cuts of the weight, each across the direction in which its sketches differ most.
+
+        The sketches stay as narrow as they came and are never copied as a whole.
+        """
         self.axes, self.cuts, self.below = [], [], []
-        self._grow(rows, weights, 0, leaves)
+        self._grow(rows, weights, np.arange(len(rows), dtype=np.int32), 0, leaves)
         self.axes, self.cuts, self.below = np.array(self.axes), np.array(self.cuts), np.array(self.below)
 
-    def _grow(self, rows: np.ndarray, weights: np.ndarray, first: int, last: int) -> int:
+    def _grow(self, rows: np.ndarray, weights: np.ndarray, held: np.ndarray, first: int, last: int) -> int:
         """Number of the node for leaves ``first`` to ``last``; a leaf is its own complement."""
         if last - first == 1:
             return ~first
         middle, node = (first + last) // 2, len(self.cuts)
-        axis, cut, right = np.zeros(rows.shape[1]), 0.0, np.zeros(len(rows), bool)
-        if len(rows) > 1:
-            axis = np.linalg.eigh(np.cov(rows, rowvar=False))[1][:, -1]
-            along = rows @ axis
+        axis, cut, right = np.zeros(rows.shape[1]), 0.0, np.zeros(len(held), bool)
+        if len(held) > 1:
+            axis = widest_axis(rows, held)
+            along = np.concatenate([block @ axis for block in _blocks(rows, held)])
             order = np.argsort(along, kind="stable")
-            sums = np.cumsum(weights[order])
+            sums = np.cumsum(weights[held[order]])
             at = int(np.searchsorted(sums, sums[-1] * (middle - first) / (last - first)))
             # between two sketches, so that copies of one stay together
             cut = along[order[min(at, len(order) - 2): min(at, len(order) - 2) + 2]].mean()
@@ -248,7 +265,7 @@ class ShardTree:
         self.cuts.append(cut)
         self.below.append((0, 0))
         self.below[node] = (
-            self._grow(rows[~right], weights[~right], first, middle), self._grow(rows[right], weights[right], middle, last)
+            self._grow(rows, weights, held[~right], first, middle), self._grow(rows, weights, held[right], middle, last)
         )
         return node
 
@@ -357,17 +374,29 @@ def shard_tree(encoded: DataFrame, number: int, idf: np.ndarray, shards: int) ->
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, ids, bounds in _token_ids(batches):
-            flat = pa.array(sketches(ids, bounds, idf).astype(np.float32).ravel())
+            # half precision is enough to place the cuts
+            narrow = sketches(ids, bounds, idf).astype("<f2")
             yield pa.RecordBatch.from_arrays([
-                rows.column("code"), pa.array(np.diff(bounds) + 1), pa.FixedSizeListArray.from_arrays(flat, SKETCH).cast(pa.list_(pa.float32())),
+                rows.column("code"), pa.array(np.diff(bounds) + 1), pa.array([row.tobytes() for row in narrow], pa.binary()),
             ], names=["code", "tokens", "sketch"])
 
     share = int(min(1.0, SAMPLE_ROWS / max(number, 1)) * (1 << 30))
     sample = encoded.where(F.pmod("code", F.lit(1 << 30)) < share).mapInArrow(
-        sketch, "code long, tokens long, sketch array<float>"
-    ).toArrow().sort_by([("code", "ascending"), ("tokens", "ascending")])
-    rows = sample.column("sketch").combine_chunks().flatten().to_numpy().reshape(-1, SKETCH).astype(np.float64)
-    return ShardTree(rows, sample.column("tokens").to_numpy(), min(shards, max(1, len(rows) // ROWS_PER_SHARD)))
+        sketch, "code long, tokens long, sketch binary"
+    ).toArrow()
+    tokens = sample.column("tokens").to_numpy()
+    rows = np.empty((len(tokens), SKETCH), "<f2")
+    done = 0
+    for part in sample.column("sketch").chunks:
+        for start in range(0, len(part), BLOCK_ROWS):
+            joined = b"".join(part.slice(start, BLOCK_ROWS).to_pylist())
+            block = np.frombuffer(joined, "<f2").reshape(-1, SKETCH)
+            rows[done: done + len(block)] = block
+            done += len(block)
+    # in an order that does not depend on the tasks
+    order = np.lexsort((tokens, sample.column("code").to_numpy()))
+    del sample
+    return ShardTree(rows[order], tokens[order], min(shards, max(1, len(rows) // ROWS_PER_SHARD)))
 
 
 def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end: int = END) -> DataFrame:
