@@ -29,6 +29,7 @@ REPEATED = 0xA0761D6478BD642F
 SAMPLE_PER_CLASS = 400
 EPOCHS = 6
 RATE = 2.0
+SLICE_BYTES = 1 << 20  # of texts that are scored together
 TRAINED_AT_ONCE = 16  # texts whose features, or 1024 times as many buckets whose vectors, are made together
 
 
@@ -210,7 +211,7 @@ def _scored(docs: DataFrame, labels: DataFrame, per_class: int, carried: list[st
     )
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, strings in slices(batches):
+        for part, strings in slices(batches, limit=SLICE_BYTES):
             codes, bounds, distinct = word_table(strings)
             logit = log_odds(shared.value, bias, codes, bounds, distinct)
             yield pa.RecordBatch.from_arrays([
