@@ -92,8 +92,13 @@ def similar_names(names: DataFrame, name: str, within: list[str], threshold: flo
     Few distinct names can share a variant, so candidates stay close to the
     answer even when all names have the same prefix. Longer names meet on
     an unchanged segment. Both ways miss nothing; candidates are then verified.
+    A name becomes hundreds of rows, which the planner counts as one: names are
+    dealt to all tasks first, and every join on their pieces is a shuffled one.
     """
     distinct = names.select(*within, F.col(name).alias("a")).filter("a IS NOT NULL").distinct()
+    parts = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # a hash of the columns: dealt by the columns themselves, the shuffle is left out and tasks are few
+    distinct = distinct.repartition(parts, F.xxhash64(*within, "a"))
     distinct = distinct.withColumn("len", F.length("a")).withColumn(
         "d", allowed_edits(F.col("len"), threshold)
     )
@@ -131,13 +136,14 @@ def _variant_candidates(distinct: DataFrame, within: list[str]) -> DataFrame:
         levels = levels.withColumn("all", F.expr("concat(all, transform(v, x -> x.t))"))
     variants = levels.select(
         *within, "a", "d", F.explode(F.array_distinct("all")).alias("variant")
-    )
-    left = variants.withColumnRenamed("a", "long_name")
-    right = variants.drop("d").withColumnRenamed("a", "short_name")
+    ).withColumn("variant", F.xxhash64(*within, "variant"))
+    # both sides hold the same columns, so that one shuffle serves both
+    left = variants.withColumnsRenamed({"a": "long_name", "d": "long_d"})
+    right = variants.withColumnsRenamed({"a": "short_name", "d": "short_d"})
     return (
-        left.join(right, [*within, "variant"])
+        left.hint("merge").join(right, ["variant", *within])
         .filter(_longer_first("long_name", "short_name"))
-        .select(*within, "long_name", "short_name", "d")
+        .select(*within, "long_name", "short_name", F.greatest("long_d", "short_d").alias("d"))
     )
 
 
@@ -169,7 +175,7 @@ def _segment_candidates(distinct: DataFrame, within: list[str], threshold: float
         F.expr("substring(a, at + shift + 1, size)").alias("text"),
     ).distinct()
     return (
-        left.join(right, [*within, "long_len", "piece", "text"])
+        left.hint("merge").join(right, [*within, "long_len", "piece", "text"])
         .filter(_longer_first("long_name", "short_name"))
         .select(*within, "long_name", "short_name", "d")
     )
@@ -198,7 +204,7 @@ def drop_fuzzy_duplicates(
     pairs = similar_names(per_name, name, within, threshold)
     for side in ("a", "b"):
         ids = per_name.select(*within, F.col(name).alias(side), F.col("_edge").alias(f"_{side}"))
-        pairs = pairs.join(ids, [*within, side])
+        pairs = pairs.join(ids.hint("merge"), [*within, side])
     groups = connected_components(pairs.select(F.col("_a").alias("a"), F.col("_b").alias("b")))
     member = per_name.select("_edge").join(groups, F.col("_edge") == F.col("node"), "left")
     winners = member.groupBy(F.coalesce("component", "_edge").alias("_group")).agg(edge("_edge").alias(row_id))

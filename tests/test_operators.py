@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from feedmill.functions import dates, dialect, paths, text
 from feedmill.operators import coverage, dedup, joins, limits, mapping, merge, quality, rules, suggestions
 from feedmill.plans import silver
+from feedmill.session import stage
 from feedmill.sources import config_files, tabular
 
 
@@ -115,6 +116,14 @@ def test_similar_names_finds_every_pair(spark):
     assert got == want and len(want) > 50
 
 
+def test_pieces_of_names_are_joined_by_shuffle(spark):
+    # the planner counts the hundreds of pieces of a name as one row and would send them through the driver
+    names = [("g", f"Customer#{i:09d}") for i in range(40)] + [("g", f"a much longer name of customer {i:09d}") for i in range(40)]
+    df = stage(spark.createDataFrame(names, "g string, name string"), "names")
+    plan = dedup.similar_names(df, "name", ["g"], 0.85)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 2 and "Broadcast" not in plan
+
+
 def test_fuzzy_duplicates_are_connected_groups(spark):
     # abcdefgh - abcdefgX - abcdefYX: the ends are too far apart, the chain is one group.
     rows = [(1, "abcdefgh"), (2, "abcdefgX"), (3, "abcdefYX"), (4, "other name"), (5, None), (6, "abcdefgh"), (7, None)]
