@@ -21,12 +21,17 @@ RULE_KEY = ["rule_id", "tpa"]
 # -- metadata upserts ---------------------------------------------------------------
 
 def _with_ids(rows: DataFrame, current: DataFrame, id_column: str) -> DataFrame:
+    """Rows numbered in their order, from the highest id on.
+
+    One task numbers them; the joins they come from keep their own tasks.
+    """
     last = current.agg(F.coalesce(F.max(id_column), F.lit(0)).alias("n")).first()[0]
-    return rows.withColumn(id_column, F.lit(last + 1) + F.monotonically_increasing_id())
+    in_order = rows.withColumn("_at", F.monotonically_increasing_id()).repartition(1).sortWithinPartitions("_at")
+    return in_order.withColumn(id_column, F.lit(last + 1) + F.monotonically_increasing_id()).drop("_at")
 
 
 def load_target_schemas(store: Store, rows: DataFrame, as_of: Column) -> None:
-    rows = _with_ids(rows.coalesce(1), store.snapshot("target_schemas"), "schema_id")
+    rows = _with_ids(rows, store.snapshot("target_schemas"), "schema_id")
     store.merge(
         "target_schemas", rows, SCHEMA_KEY,
         update=["data_type", "nullable", "default_value", "description"],
@@ -36,7 +41,7 @@ def load_target_schemas(store: Store, rows: DataFrame, as_of: Column) -> None:
 
 
 def load_field_mappings(store: Store, rows: DataFrame, as_of: Column) -> None:
-    rows = _with_ids(rows.coalesce(1), store.snapshot("field_mappings"), "mapping_id")
+    rows = _with_ids(rows, store.snapshot("field_mappings"), "mapping_id")
     store.merge(
         "field_mappings", rows, MAPPING_KEY,
         update=["transformation_logic", "description", "approved", "confidence_score", "mapping_method"],

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from feedmill import model
 from feedmill.functions.dates import ntz
+from feedmill.operators.merge import rows_to_insert
 from feedmill.plans import bronze, schema_admin, silver
 from feedmill.plans.store import Store
 from feedmill.sources import listing
@@ -138,6 +139,20 @@ def test_files_of_a_dead_run_are_loaded(spark, landing, tmp_path, monkeypatch):
     assert store.read("raw_data").count() == 10
 
 
+def test_new_metadata_is_numbered_after_its_join(spark, tmp_path, monkeypatch):
+    # the join against the stored mappings must not run in the one task that numbers what is left
+    store, seen = Store(spark, str(tmp_path / "lake")), []
+    monkeypatch.setattr(Store, "merge", lambda self, table, rows, *args, **options: seen.append(rows))
+    store.replace("field_mappings", spark.range(40).selectExpr("id AS mapping_id", "concat('C', id) AS target_column", "'T' AS target_table"))
+    fields = spark.range(0, 50, 1, 5).selectExpr("concat('C', id) AS target_column", "'T' AS target_table", "id", "CAST(NULL AS STRING) AS tpa")
+    schema_admin.load_field_mappings(store, rows_to_insert(fields, store.snapshot("field_mappings"), ["target_table", "target_column", "tpa"]), now())
+    schema_admin.load_target_schemas(store, fields, now())
+    joined, plain = seen
+    assert "Repartition 1, false" not in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r.mapping_id for r in joined.collect()) == list(range(40, 50)) and {r.id for r in joined.collect()} == set(range(40, 50))
+    assert sorted((r.schema_id, r.id) for r in plain.collect()) == [(i + 1, i) for i in range(50)]
+
+
 def silver_setup(store):
     spark = store.spark
     columns = [
