@@ -115,24 +115,6 @@ def shared_pieces(s_names: DataFrame, t_names: DataFrame, size: int) -> DataFram
     return pieces(s_names, "s").join(pieces(t_names, "t"), "gram").select("s", "t").distinct()
 
 
-def contained_pairs(s_names: DataFrame, t_names: DataFrame) -> DataFrame:
-    """(s, t) of names of which one contains the other, met on the pieces of the longer one."""
-    def pieces(names: DataFrame, c: str) -> DataFrame:
-        starts = F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.transform(
-            F.sequence(F.lit(1), F.length(c) - i + 1), lambda n: F.substring(c, i, n)))
-        return names.where(F.col(c) != "").select(c, F.explode(F.array_distinct(F.flatten(starts))).alias("piece"))
-
-    in_s = pieces(s_names, "s").join(t_names, F.col("piece") == F.col("t")).select("s", "t")
-    in_t = pieces(t_names, "t").join(s_names, F.col("piece") == F.col("s")).select("s", "t")
-    return in_s.unionByName(in_t).distinct()
-
-
-def word_pairs(s_names: DataFrame, t_names: DataFrame) -> DataFrame:
-    """(s, t) of names that share a word."""
-    words = lambda names, c: names.select(c, F.explode(F.array_distinct(F.split(c, " +"))).alias("word")).where("word <> ''")
-    return words(s_names, "s").join(words(t_names, "t"), "word").select("s", "t").distinct()
-
-
 def score_pairs(sources: DataFrame, targets: DataFrame, min_confidence: float = 0.6) -> DataFrame:
     """Scores of (source_field, target_table, target_column) pairs at or above the minimum.
 

@@ -41,22 +41,29 @@ def fields_sql(body: str) -> str:
     return sql("raw mappings schemas", "").rstrip() + ",\n" + _FIELDS_SQL + "\n" + body
 
 
-def _pairs(s, d, meet) -> DataFrame:
-    """Source and target names, normalised, of the pairs that ``meet`` finds: those whose score is above zero."""
+def _names(s, d) -> tuple[DataFrame, DataFrame]:
+    """Source names (source_field, s) and target names (target_column, t), each with its normalised form."""
     src = _sources(s, d).withColumn("s", normalise_name(F.col("source_field")))
-    tgt = _targets(s, d).select("target_column").distinct().withColumn("t", normalise_name(F.col("target_column")))
-    met = meet(src.select("s").distinct(), tgt.select("t").distinct())
-    return met.join(src, "s").join(tgt, "t").select("source_field", "target_column", "s", "t")
+    return src, _targets(s, d).select("target_column").distinct().withColumn("t", normalise_name(F.col("target_column")))
+
 
+def _pairs(s, d) -> DataFrame:
+    """Every source name with every target name; the source names are dealt to all tasks, few as they may be."""
+    src, tgt = _names(s, d)
+    parts = int(s.conf.get("spark.sql.shuffle.partitions"))
+    return src.repartition(parts, F.xxhash64("source_field")).crossJoin(tgt).select("source_field", "target_column", "s", "t")
 
-def _same(s_names: DataFrame, t_names: DataFrame) -> DataFrame:
-    return s_names.join(t_names, F.col("s") == F.col("t"))
+
+def _lettered_pairs(s, d) -> DataFrame:
+    """Source and target names that share a letter."""
+    src, tgt = _names(s, d)
+    met = M.shared_pieces(src.select("s").distinct(), tgt.select("t").distinct(), 1)
+    return met.join(src, "s").join(tgt, "t").select("source_field", "target_column", "s", "t")
 
 
-def _pairs_sql(meet: str) -> str:
-    return f"""SELECT source_field, target_column, s, t FROM
-    (SELECT source_field, {_NORM.format('source_field')} AS s FROM src)
-    JOIN (SELECT DISTINCT target_column, {_NORM.format('target_column')} AS t FROM tgt) ON {meet}"""
+_PAIRS_SQL = f"""SELECT source_field, target_column, s, t FROM
+    (SELECT source_field, coalesce({_NORM.format('source_field')}, '') AS s FROM src)
+    CROSS JOIN (SELECT DISTINCT target_column, coalesce({_NORM.format('target_column')}, '') AS t FROM tgt)"""
 
 
 _WORDS = "list_filter(list_distinct(regexp_split_to_array({}, ' +')), lambda w: w <> '')"
@@ -170,24 +177,22 @@ QUERIES = {
         lambda s, d: _sources(s, d).select("source_field", normalise_name(F.col("source_field")).alias("name")),
         fields_sql(f"SELECT source_field, {_NORM.format('source_field')} AS name FROM src")),
     "map_03_exact_score": Query(
-        lambda s, d: _pairs(s, d, _same).select(
+        lambda s, d: _pairs(s, d).select(
             "source_field", "target_column", F.when(F.col("s") == F.col("t"), 1.0).otherwise(0.0).alias("score")),
-        fields_sql(f"SELECT source_field, target_column, CAST(s = t AS INTEGER) * CAST(1 AS DOUBLE) AS score FROM ({_pairs_sql('s = t')})")),
+        fields_sql(f"SELECT source_field, target_column, CAST(s = t AS INTEGER) * CAST(1 AS DOUBLE) AS score FROM ({_PAIRS_SQL})")),
     "map_04_substring_score": Query(
-        lambda s, d: _pairs(s, d, M.contained_pairs).select(
+        lambda s, d: _pairs(s, d).select(
             "source_field", "target_column", M.substring_score(F.col("s"), F.col("t")).alias("score")),
         fields_sql(f"""SELECT source_field, target_column, CASE WHEN s <> '' AND t <> '' AND (contains(s, t) OR contains(t, s))
-            THEN CAST(1 AS DOUBLE) ELSE 0 END AS score
-            FROM ({_pairs_sql("s <> '' AND t <> '' AND (contains(s, t) OR contains(t, s))")})""")),
+            THEN CAST(1 AS DOUBLE) ELSE 0 END AS score FROM ({_PAIRS_SQL})""")),
     "map_05_sequence_score": Query(
-        lambda s, d: _pairs(s, d, lambda a, b: M.shared_pieces(a, b, 1)).select("source_field", "target_column", F.round(M.sequence_ratio("s", "t"), 4).alias("score"))),
+        lambda s, d: _lettered_pairs(s, d).select("source_field", "target_column", F.round(M.sequence_ratio("s", "t"), 4).alias("score"))),
     "map_06_word_overlap": Query(
-        lambda s, d: _pairs(s, d, M.word_pairs).select(
+        lambda s, d: _pairs(s, d).select(
             "source_field", "target_column", F.round(M.word_overlap(F.col("s"), F.col("t")), 4).alias("score")),
-        fields_sql(f"""SELECT source_field, target_column, round(CAST(len(list_intersect(a, b)) AS DOUBLE)
-              / len(list_distinct(list_concat(a, b))), 4) AS score
-            FROM (SELECT *, {_WORDS.format('s')} AS a, {_WORDS.format('t')} AS b
-                  FROM ({_pairs_sql(f"len(list_intersect({_WORDS.format('s')}, {_WORDS.format('t')})) > 0")}))""")),
+        fields_sql(f"""SELECT source_field, target_column, round(CASE WHEN len(a) = 0 OR len(b) = 0 THEN CAST(0 AS DOUBLE)
+              ELSE CAST(len(list_intersect(a, b)) AS DOUBLE) / len(list_distinct(list_concat(a, b))) END, 4) AS score
+            FROM (SELECT *, {_WORDS.format('s')} AS a, {_WORDS.format('t')} AS b FROM ({_PAIRS_SQL}))""")),
     "map_07_gram_weights": Query(
         _tfidf,
         fields_sql("").rstrip() + "," + _TFIDF_SQL + "\nSELECT name, gram, round(w, 4) AS weight FROM wn"),

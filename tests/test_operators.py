@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from feedmill.functions import dates, dialect, paths, text
 from feedmill.operators import coverage, dedup, joins, limits, mapping, merge, quality, rules, suggestions
 from feedmill.plans import silver
+from feedmill.queries import mappings as mapping_queries
 from feedmill.session import stage
 from feedmill.sources import config_files, tabular
 
@@ -136,6 +137,25 @@ def test_fuzzy_duplicates_are_connected_groups(spark):
     assert [r.raw_id for r in none.collect()] == [4]
 
 
+@pytest.mark.parametrize("name", ["map_03_exact_score", "map_04_substring_score", "map_06_word_overlap"])
+def test_score_queries_score_every_pair(spark, monkeypatch, name):
+    # unlike names, one letter, no letter at all and a missing name, which counts as empty, are scored too
+    sources, targets = ["k", "USER_ID", "user id", "zzz", "--", None], ["KEY", "USER_ID", "AMOUNT", "_", None]
+    monkeypatch.setattr(mapping_queries, "_sources", lambda s, d: spark.createDataFrame([(x,) for x in sources], "source_field string"))
+    monkeypatch.setattr(mapping_queries, "_targets", lambda s, d: spark.createDataFrame(
+        [(t, x) for x in targets for t in "AB"], "target_table string, target_column string"))
+    norm = lambda s: "".join(c if c.isalnum() else " " for c in s or "").lower().strip()
+    words = lambda s: set(norm(s).split())
+    score = {
+        "map_03_exact_score": lambda a, b: float(norm(a) == norm(b)),
+        "map_04_substring_score": lambda a, b: float(bool(norm(a) and norm(b)) and (norm(a) in norm(b) or norm(b) in norm(a))),
+        "map_06_word_overlap": lambda a, b: round(len(words(a) & words(b)) / max(len(words(a) | words(b)), 1), 4),
+    }[name]
+    want = {(a, b): score(a, b) for a in sources for b in targets}
+    got = mapping_queries.QUERIES[name].run(spark, "").collect()
+    assert {(r.source_field, r.target_column): r.score for r in got} == want and len(got) == len(want)
+
+
 def test_mapping_scores_match_brute_force(spark):
     sources = ["CLM_NBR", "Claim Number", "PAT_FNAME", "PatientFirstName", "SVC_DT", "x", "Provider-NPI", "plan type"]
     targets = ["CLAIM_NUMBER", "PATIENT_FIRST_NAME", "SERVICE_DATE", "PROVIDER_NPI", "PLAN_TYPE", "X", "PLAN"]
