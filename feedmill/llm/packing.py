@@ -14,6 +14,7 @@ need no padding.
 from __future__ import annotations
 
 import json
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -42,6 +43,8 @@ FIRST = 64  # neighbours sorted at first
 WORD_END = "</w>"
 MARK = "\0"
 _PLAIN = "^[!-~\u00a1-\u00ac\u00ae-\u00ff]+$"
+# Of each character up to U+00FF: 0 between words, 1 a letter, 2 a number, 3 another character.
+_KIND = np.array([0 if c == 10 else {"L": 1, "N": 2}.get(unicodedata.category(chr(c))[0], 3) for c in range(256)], np.uint8)
 
 _PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -73,29 +76,45 @@ class WordTokenizer:
         self._fast = tiktoken.Encoding("words", pat_str=rf"[^{MARK}\n]+{MARK}|\n", mergeable_ranks=ranks, special_tokens={})
         self._line = ranks[b"\n"]
 
-    def _encode(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def _marked(self, words: pa.Array, simple: bool) -> str:
+        """The words in lower case, a line each, MARK after each piece.
+
+        In simple words, which hold no apostrophe, a piece is a run of letters, a number or a run of other characters.
+        """
+        lines = pc.utf8_lower(pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), "\n"))
+        if not simple:
+            return pc.replace_substring_regex(lines, self._pieces, rf"\1{MARK}")[0].as_py()
+        text = np.frombuffer(lines[0].as_py().encode("latin-1"), np.uint8)
+        kind = _KIND[text]
+        ends = (kind == 2) | (kind != np.append(kind[1:], 0))
+        ends &= kind > 0
+        marked = np.repeat(text, ends + 1)
+        marked[np.flatnonzero(ends) + np.arange(1, np.count_nonzero(ends) + 1)] = ord(MARK)
+        return marked.tobytes().decode("latin-1")
+
+    def _encode(self, words: pa.Array, simple: bool) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words, number of each); words of printable ASCII and Latin-1 characters."""
         if not len(words):
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        lines = pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), "\n")
-        marked = pc.replace_substring_regex(pc.utf8_lower(lines), self._pieces, rf"\1{MARK}")[0].as_py()
-        ids = np.array(self._fast.encode_ordinary(marked + "\n"), np.uint32)
+        ids = np.array(self._fast.encode_ordinary(self._marked(words, simple) + "\n"), np.uint32)
         ends = np.flatnonzero(ids == self._line)
         return ids[ids != self._line], np.diff(ends, prepend=-1) - 1
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, where each begins and ends), without an end token."""
         codes, bounds, distinct = word_table(texts)
-        plain = pc.match_substring_regex(distinct, _PLAIN).to_numpy(zero_copy_only=False)
-        plain &= ~pc.match_substring(distinct, "<|").to_numpy(zero_copy_only=False)
-        simple, others = np.flatnonzero(plain), np.flatnonzero(~plain)
-        ids, sizes = self._encode(distinct.take(pa.array(simple)))
-        slow = [self._slow.encode(w, add_special_tokens=False).ids for w in distinct.take(pa.array(others)).to_pylist()]
+        holds = lambda part: pc.match_substring(distinct, part).to_numpy(zero_copy_only=False)
+        plain = pc.match_substring_regex(distinct, _PLAIN).to_numpy(zero_copy_only=False) & ~holds("<|")
+        simple = plain & ~holds("'")
+        groups = [np.flatnonzero(simple), np.flatnonzero(plain & ~simple), np.flatnonzero(~plain)]
+        words = [distinct.take(pa.array(group)) for group in groups]
+        slow = [self._slow.encode(w, add_special_tokens=False).ids for w in words[2].to_pylist()]
+        found = [self._encode(words[0], True), self._encode(words[1], False)]
+        flat = np.concatenate([*[ids for ids, _ in found], *[np.array(x, np.uint32) for x in slow]])
+        in_order = np.concatenate(groups)
         lengths = np.zeros(len(distinct), np.int64)
-        lengths[simple], lengths[others] = sizes, [len(x) for x in slow]
-        flat = np.concatenate([ids, *[np.array(x, np.uint32) for x in slow]])
+        lengths[in_order] = np.concatenate([*[sizes for _, sizes in found], np.array([len(x) for x in slow], np.int64)])
         begins = np.zeros(len(distinct), np.int64)
-        in_order = np.concatenate([simple, others])
         begins[in_order] = np.cumsum(lengths[in_order]) - lengths[in_order]
         of_word = lengths[codes]
         ends = np.concatenate(([0], np.cumsum(of_word)))
@@ -318,9 +337,13 @@ def _token_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBat
 
 def documents_holding(ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(tokens, how many of the documents hold each)."""
-    number = max(len(bounds) - 1, 1)
-    held = np.unique(ids.astype(np.int64) * number + np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))) // number
-    counts = np.bincount(held)
+    if ids.max(initial=0) < 1 << 16:
+        ids = ids.astype(np.uint16)  # sorted by its digits, in linear time
+    order = np.argsort(ids, kind="stable")
+    token, doc = ids[order], np.repeat(np.arange(len(bounds) - 1, dtype=np.int32), np.diff(bounds))[order]
+    first = np.ones(len(ids), bool)
+    first[1:] = (token[1:] != token[:-1]) | (doc[1:] != doc[:-1])
+    counts = np.bincount(token[first])
     tokens = np.flatnonzero(counts)
     return tokens, counts[tokens]
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -387,6 +388,23 @@ def test_quality(spark, odd, empty):
     assert kept.columns == docs.columns and kept.count() == sum(r["predicted"] for r in got)
 
 
+def test_pieces_of_words_are_marked_without_a_pattern():
+    rng = random.Random(11)
+    letters = [chr(c) for c in [*range(33, 127), *range(161, 173), *range(174, 256)] if chr(c) != "'"]
+    words = pa.array(["".join(rng.choices(letters, k=rng.randrange(1, 9))) for _ in range(3000)] + ["1a22!!b", "\u00b2\u00bd", "\u00e9\u00d7\u00aa"])
+    tokenizer = packing.WordTokenizer(tokenizer_file("word_bpe_49k.json"))
+    assert tokenizer._marked(words, True) == tokenizer._marked(words, False)
+
+
+def test_documents_that_hold_a_token_are_counted_once():
+    rng = random.Random(12)
+    for largest in (6, 60, 70000):
+        documents = [[rng.randrange(largest) for _ in range(rng.randrange(40))] for _ in range(30)]
+        bounds = np.concatenate(([0], np.cumsum([len(d) for d in documents])))
+        tokens, counts = packing.documents_holding(np.array(sum(documents, []), np.uint32), bounds)
+        assert dict(zip(tokens.tolist(), counts.tolist())) == Counter(t for d in documents for t in set(d))
+
+
 def test_word_tokenizer_round_trip(odd_rows):
     from tokenizers import Tokenizer
 
