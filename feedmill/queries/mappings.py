@@ -48,7 +48,7 @@ def _names(s, d) -> tuple[DataFrame, DataFrame]:
 
 
 def _pairs(s, d) -> DataFrame:
-    """Every source name with every target name; the source names are dealt to all tasks, few as they may be."""
+    """Every source name with every target name; the source names are dealt to all tasks unless they are few enough to be broadcast."""
     src, tgt = _names(s, d)
     parts = int(s.conf.get("spark.sql.shuffle.partitions"))
     return src.repartition(parts, F.xxhash64("source_field")).crossJoin(tgt).select("source_field", "target_column", "s", "t")
